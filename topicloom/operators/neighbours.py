@@ -159,6 +159,8 @@ def pair_blocks(
         return func(a, b)
 
     empty = _empty_table(schema)
+    # Fresh column identities: both sides may stem from the same table.
+    left, right = left.toDF(*left.columns), right.toDF(*right.columns)
     # Key columns must have the same types on both sides, or rows silently miss.
     keys = ["cell", "qc", "tc"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(both, schema)
