@@ -110,7 +110,9 @@ def _members(tree: MergeTree, merges: DataFrame, clustered: DataFrame) -> DataFr
     """(id, cid): the cluster of the first large merge above each point."""
     big = merges.where("big")
     crossing = big.groupBy("chain").agg(F.min("e").alias("x"))
-    small_chains = merges.select("chain").distinct().join(crossing, "chain", "left_anti")
+    # The root chain is small only if there are too few points for any cluster.
+    chains = merges.where(F.col("chain") != ROOT_CHAIN).select("chain").distinct()
+    small_chains = chains.join(crossing, "chain", "left_anti")
     above = merges.select(F.col("e").alias("a"), F.col("chain").alias("next"), F.col("big").alias("a_big"))
     climbing = keep(
         small_chains.withColumn("a", F.expr("chain div 2"))
