@@ -140,41 +140,68 @@ def _members(tree: MergeTree, merges: DataFrame, clustered: DataFrame) -> DataFr
 
 
 def select_by_mass(clusters: DataFrame) -> DataFrame:
-    """(cid, selected): bottom-up, a cluster wins if its stability is at least its children's.
+    """(cid, selected): a cluster wins if its stability is at least its children's value.
 
-    The root is never selected.  One round per level of the condensed tree.
+    value = max(stability, sum of the children's values), from the leaves up; the
+    root is never selected.  A cluster with one resolved child has the value
+    max(top, x + add) of the other child's value x.  Such functions compose, so
+    runs of them are shortened by doubling, and the number of rounds grows with
+    the log of the tree, not with its height.
     """
     inner = clusters.where(F.col("parent").isNotNull())
-    has_children = inner.select(F.col("parent").alias("cid")).distinct()
-    leaves = inner.join(has_children, "cid", "left_anti").select(
-        "cid", "parent", F.col("stability").alias("value"), F.lit(True).alias("selected")
+    inside = inner.select(F.col("parent").alias("cid")).distinct().withColumn("_inside", F.lit(True))
+    nothing = F.lit(None)
+    state = keep(
+        inner.join(inside, "cid", "left").select(
+            "cid",
+            "parent",
+            "stability",
+            F.when(F.col("_inside").isNull(), F.col("stability")).alias("value"),
+            nothing.cast("long").alias("down"),
+            nothing.cast("double").alias("top"),
+            nothing.cast("double").alias("add"),
+        ),
+        "mass",
     )
-    frontier = keep(leaves, "frontier")
-    rounds = [frontier]
-    while True:
-        pairs = frontier.groupBy("parent").agg(
-            F.count("*").alias("n"), F.sum("value").alias("below")
-        ).where(F.col("n") == 2)
-        risen = (
-            pairs.select(F.col("parent").alias("cid"), "below")
-            .join(inner, "cid")
-            .select(
+    while not state.where(F.col("value").isNull()).isEmpty():
+        children = state.groupBy(F.col("parent").alias("cid")).agg(
+            F.count("value").alias("n"),
+            F.sum("value").alias("below"),
+            F.max(F.when(F.col("value").isNull(), F.col("cid"))).alias("open"),
+        )
+        ahead = state.select(
+            F.col("cid").alias("down"),
+            *[F.col(c).alias(f"d_{c}") for c in ("value", "down", "top", "add")],
+        )
+        joined = state.join(children, "cid", "left").join(ahead, "down", "left")
+        starts = F.col("down").isNull() & (F.col("n") == 1)
+        jumps = F.col("d_down").isNotNull()
+        value = F.coalesce(
+            "value",
+            F.when(F.col("n") == 2, F.greatest("stability", "below")),
+            F.when(F.col("d_value").isNotNull(), F.greatest(F.col("top"), F.col("d_value") + F.col("add"))),
+        )
+        further = F.greatest(F.col("top"), F.col("d_top") + F.col("add"))
+        following = keep(
+            joined.select(
                 "cid",
                 "parent",
-                F.greatest("stability", "below").alias("value"),
-                (F.col("stability") >= F.col("below")).alias("selected"),
-            )
+                "stability",
+                value.alias("value"),
+                F.when(starts, F.col("open")).when(jumps, F.col("d_down")).otherwise(F.col("down")).alias("down"),
+                F.when(starts, F.col("stability")).when(jumps, further).otherwise(F.col("top")).alias("top"),
+                F.when(starts, F.col("below"))
+                .when(jumps, F.col("add") + F.col("d_add"))
+                .otherwise(F.col("add"))
+                .alias("add"),
+            ),
+            "mass",
         )
-        risen = keep(risen, "frontier")
-        if risen.isEmpty():
-            break
-        rounds.append(risen)
-        done = pairs.select("parent")
-        frontier = keep(frontier.join(done, "parent", "left_anti").select(*risen.columns).unionByName(risen), "frontier")
-    chosen = rounds[0].select("cid", "selected")
-    for part in rounds[1:]:
-        chosen = chosen.unionByName(part.select("cid", "selected"))
-    return chosen
+        drop_kept(state)
+        state = following
+    below = state.groupBy(F.col("parent").alias("cid")).agg(F.sum("value").alias("below"))
+    wins = F.col("below").isNull() | (F.col("stability") >= F.col("below"))
+    return keep(state.join(below, "cid", "left").select("cid", wins.alias("selected")), "selected")
 
 
 def _inner_tree(clusters: DataFrame) -> DataFrame:
