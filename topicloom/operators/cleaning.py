@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.functions.text import word_count
+from topicloom.workspace import spread
 
 
 def drop_blank(docs: DataFrame) -> DataFrame:
@@ -39,5 +40,5 @@ def long_enough(docs: DataFrame, min_words: int = 20) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, min_words: int = 20) -> DataFrame:
-    """All cleaning steps in order; one pass over the rows without a shuffle."""
-    return long_enough(with_text(with_length(drop_blank(docs))), min_words)
+    """All cleaning steps in order: one pass over the rows."""
+    return long_enough(with_text(with_length(drop_blank(spread(docs)))), min_words)

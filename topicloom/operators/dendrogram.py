@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.operators.spanning import contract, relabel
-from topicloom.workspace import drop_kept, global_index, keep, range_placed, running_sum
+from topicloom.workspace import drop_kept, global_index, keep, keep_all, range_placed, running_sum
 
 ROOT_CHAIN = -1
 
@@ -77,10 +77,9 @@ def _contract_levels(numbered: DataFrame) -> tuple[DataFrame, DataFrame, int]:
         used = picked.select("e").distinct()
         fresh = edges.join(used, "e").select("e", F.col("a").alias("s"), F.lit(level).alias("level"))
         up = relabel(fresh if still is None else fresh.unionByName(still), labels, "s")
-        waiting = keep(up.select("e", "s", "level"), "waiting")
         rest = edges.join(used, "e", "left_anti")
         rest = relabel(relabel(rest, labels, "a"), labels, "b").select("e", "a", "b")
-        following = keep(rest, "level")
+        waiting, following = keep_all(waiting=up.select("e", "s", "level"), level=rest)
         drop_kept(edges, labels)
         edges = following
         level += 1

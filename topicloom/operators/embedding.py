@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from topicloom.functions.text import tokens
 from topicloom.functions.vectors import normalise
+from topicloom.workspace import spread
 
 
 def hashed_embedding(docs: DataFrame, dim: int = 64, text_col: str = "abstract", id_col: str = "id") -> DataFrame:
@@ -19,7 +20,8 @@ def hashed_embedding(docs: DataFrame, dim: int = 64, text_col: str = "abstract",
     All buckets are counted in one aggregation per document, so a partial row per
     document is all that is shuffled, however long the text.
     """
-    words = docs.select(id_col, F.explode_outer(tokens(F.col(text_col))).alias("term"))
+    rows = spread(docs.select(id_col, F.col(text_col).alias("text")))
+    words = rows.select(id_col, F.explode_outer(tokens(F.col("text"))).alias("term"))
     bucket = F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("long") % dim
     counted = words.withColumn("bucket", bucket).groupBy(id_col).agg(
         *[

@@ -85,12 +85,10 @@ def ward_merges(distances: DataFrame) -> DataFrame:
     Parents are numbered from the largest leaf id + 1 by rising distance; the
     smaller child id is on the left.
     """
-    both = distances.select(
-        F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"),
-        (F.col("dist") * F.col("dist")).alias("d2"),
-    )
     # A cluster is known by its smallest leaf; na and nb are cluster sizes.
-    state = keep(both.select("p.a", "p.b", "d2", F.lit(1).alias("na"), F.lit(1).alias("nb")), "ward")
+    one = F.lit(1)
+    pairs = distances.select("a", "b", (F.col("dist") * F.col("dist")).alias("d2"), one.alias("na"), one.alias("nb"))
+    state = keep(_mirrored(pairs), "ward")
     last_leaf = state.agg(F.max("a")).first()[0]
     rounds: list[DataFrame] = []
     while not state.isEmpty():
@@ -106,7 +104,11 @@ def ward_merges(distances: DataFrame) -> DataFrame:
         )
         merges = keep(mutual, "ward-merges")
         rounds.append(merges)
-        following = keep(_merge_side(_merge_side(state, merges, "a", "b"), merges, "b", "a"), "ward")
+        if merges.isEmpty():
+            raise RuntimeError("no mutually nearest pair: distances are not numbers")
+        merged = _merge_side(_merge_side(state, merges, "a", "b"), merges, "b", "a")
+        # The two directions of a pair may round differently; one of them counts.
+        following = keep(_mirrored(merged.where(F.col("a") < F.col("b"))), "ward")
         drop_kept(state)
         state = following
     if not rounds:
@@ -132,6 +134,14 @@ def ward_merges(distances: DataFrame) -> DataFrame:
     )
 
 
+def _mirrored(pairs: DataFrame) -> DataFrame:
+    swapped = F.struct(
+        F.col("b").alias("a"), F.col("a").alias("b"), "d2", F.col("nb").alias("na"), F.col("na").alias("nb")
+    )
+    both = F.array(F.struct("a", "b", "d2", "na", "nb"), swapped)
+    return pairs.select(F.explode(both).alias("p")).select("p.*")
+
+
 def _merge_side(state: DataFrame, merges: DataFrame, side: str, far: str) -> DataFrame:
     """Lance-Williams update of one side of the distance table, on squared distances."""
     member = F.explode(

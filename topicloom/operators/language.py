@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicloom.workspace import keep, small
+from topicloom.workspace import keep, small, spread
 
 # Added to the log share so that every listed trigram counts as evidence.
 FLOOR = 15.0
@@ -27,9 +27,8 @@ def trigrams(text):
 
 def train_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", top: int = 300) -> DataFrame:
     """(lang, gram, weight) for the ``top`` trigrams of each language."""
-    counts = docs.select(
-        F.col(lang_col).alias("lang"), F.explode(trigrams(F.col(text_col))).alias("gram")
-    ).groupBy("lang", "gram").agg(F.count("*").alias("n"))
+    rows = spread(docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")))
+    counts = rows.select("lang", F.explode(trigrams(F.col("text"))).alias("gram")).groupBy("lang", "gram").agg(F.count("*").alias("n"))
     counts = keep(counts, "trigrams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
@@ -45,7 +44,8 @@ def detect_language(docs: DataFrame, profiles: DataFrame, text_col: str = "text"
 
     Documents without any listed trigram do not appear.
     """
-    grams = docs.select(id_col, F.explode(trigrams(F.col(text_col))).alias("gram"))
+    rows = spread(docs.select(id_col, F.col(text_col).alias("text")))
+    grams = rows.select(id_col, F.explode(trigrams(F.col("text"))).alias("gram"))
     scores = (
         grams.join(small(profiles), "gram")
         .groupBy(id_col, "lang")

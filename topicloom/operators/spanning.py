@@ -32,7 +32,7 @@ from topicloom.operators.neighbours import (
     to_cells_within,
     to_nearest_cells,
 )
-from topicloom.workspace import drop_kept, keep
+from topicloom.workspace import drop_kept, keep, keep_all
 
 
 def core_distances(knn: DataFrame, min_samples: int) -> DataFrame:
@@ -156,9 +156,11 @@ def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _grow(labels: DataFrame, edges: DataFrame, search) -> tuple[DataFrame, DataFrame]:
-    comp = keep(labels, "components")
+    comp, edges = keep_all(
+        components=labels,
+        edges=edges.select(F.col("lo").alias("a"), F.col("hi").alias("b"), "w", "lo", "hi"),
+    )
     left = comp.count()
-    edges = keep(edges.select(F.col("lo").alias("a"), F.col("hi").alias("b"), "w", "lo", "hi"), "edges")
     trees: list[DataFrame] = []
     first = True
     while left > 1:
@@ -173,8 +175,10 @@ def _grow(labels: DataFrame, edges: DataFrame, search) -> tuple[DataFrame, DataF
         trees.append(added)
         left -= n
         old_comp, old_edges = comp, edges
-        comp = keep(relabel(comp, labels_of, "comp").select("id", "comp"), "components")
-        edges = keep(_shrink(edges, labels_of), "edges")
+        comp, edges = keep_all(
+            components=relabel(comp, labels_of, "comp").select("id", "comp"),
+            edges=_shrink(edges, labels_of),
+        )
         drop_kept(old_comp, old_edges, labels_of)
         first = False
     tree = trees[0] if trees else edges.select("lo", "hi", "w").limit(0)

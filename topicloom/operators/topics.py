@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicloom.functions.text import tokens
-from topicloom.workspace import global_index, keep
+from topicloom.workspace import global_index, keep, spread
 
 OUTLIER = -1
 
@@ -26,9 +26,8 @@ def term_counts(
     """
     if stop_words is None:
         stop_words = StopWordsRemover.loadDefaultStopWords("english")
-    terms = docs.select(
-        F.col(topic_col).alias("topic"), F.explode(tokens(F.col(text_col))).alias("term")
-    )
+    rows = spread(docs.select(F.col(topic_col).alias("topic"), F.col(text_col).alias("text")))
+    terms = rows.select("topic", F.explode(tokens(F.col("text"))).alias("term"))
     return (
         terms.where(~F.col("term").isin(list(stop_words)))
         .groupBy("topic", "term")

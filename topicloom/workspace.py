@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +43,31 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keep_all(**tables: DataFrame) -> list[DataFrame]:
+    """``keep`` several independent tables at once, so that their jobs overlap."""
+    spark = next(iter(tables.values())).sparkSession
+    scratch_root(spark)
+    with ThreadPoolExecutor(len(tables)) as pool:
+        jobs = [
+            pool.submit(inheritable_thread_target(spark)(keep), table, name)
+            for name, table in tables.items()
+        ]
+        return [job.result() for job in jobs]
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Spread a small scan over all cores before work that is heavy per row.
+
+    A scan whose estimated size gives each core less than one full split is
+    repartitioned; a larger one already has enough splits and is left alone.
+    """
+    spark = rows.sparkSession
+    cores = parallelism(spark)
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows.repartition(cores) if size < cores * split else rows
+
+
 def drop_kept(*tables: DataFrame | None) -> None:
     """Delete the files behind tables written by ``keep`` that nothing reads any more."""
     for table in tables:
