@@ -60,11 +60,10 @@ def clean_label(label: Column) -> Column:
 
 def leading_bytes(text: Column, limit: int) -> Column:
     """The longest character prefix that fits into ``limit`` UTF-8 bytes."""
-    head = F.substring(F.encode(text, "UTF-8"), 1, limit)
+    head = F.substring(F.encode(text, "UTF-8"), 1, limit).cast("string")
     # A cut inside a character leaves a replacement mark at the end.
-    return F.when(F.octet_length(text) <= limit, text).otherwise(
-        F.regexp_replace(F.decode(head, "UTF-8"), "�+$", "")
-    )
+    whole = F.regexp_replace(F.make_valid_utf8(head), "\ufffd+$", "")
+    return F.when(F.octet_length(text) <= limit, text).otherwise(whole)
 
 
 def tokens(text: Column) -> Column:
