@@ -10,6 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicloom.workspace import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -74,7 +76,7 @@ def topical(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"), F.get(F.split("text", "\n", 2), F.lit(0)).alias("title"), "text"
     )
-    return docs.join(vectors(spark, folder).select("id", "topic"), "id")
+    return spread(docs).join(vectors(spark, folder).select("id", "topic"), "id")
 
 
 TOPICAL = VECTORS + """, docs AS (

@@ -5,21 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space plus the four separators Python also splits on.
-_SPACE = r"(?U)[\s\x1c-\x1f]"
+# The characters Python's str.split() and str.strip() treat as white space.
+_SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(text, f"{_SPACE}+$|^{_SPACE}+", "")
+    return F.regexp_replace(text, f"^[{_SPACE}]+|[{_SPACE}]+$", "")
 
 
 def word_count(text: Column) -> Column:
     """Number of white-space separated words; null stays null."""
-    bare = strip(text)
-    words = F.size(F.split(bare, f"{_SPACE}+"))
-    return F.when(text.isNull(), F.lit(None)).when(bare == "", 0).otherwise(words).cast("int")
+    return F.regexp_count(text, F.lit(f"[^{_SPACE}]+"))
 
 
 def truncate(text: Column, limit: int) -> Column:

@@ -112,11 +112,13 @@ def pair_blocks(
     schema: T.StructType,
     block_rows: int = BLOCK_ROWS,
     cells: bool = True,
+    rows: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Run ``func`` on every (query block, train block) pair that shares a cell.
 
     Both inputs have ``id`` and, with ``cells``, an integer ``cell``.  Rows fall
     into blocks by a hash of their id, so a retried task sees the same block.
+    Without cells, ``rows`` gives the row counts of both sides if they are known.
     """
     spark = queries.sparkSession
 
@@ -132,7 +134,7 @@ def pair_blocks(
         sizes = F.broadcast(sizes)  # at most MAX_CELLS rows
         queries, train = queries.join(sizes, "cell"), train.join(sizes, "cell")
     else:
-        nq, nt = queries.count(), train.count()
+        nq, nt = rows or (queries.count(), train.count())
         # Even a small input should use all cores, in blocks of a few hundred rows.
         spread = max(1, min(parallelism(spark), nq // 256))
         counts = {

@@ -223,7 +223,8 @@ class _ForeignSearch:
     def __init__(self, points: DataFrame, scalars: DataFrame, block_rows: int):
         self.block_rows = block_rows
         self.scalars = scalars
-        n_cells = min(max(-(-points.count() // block_rows), 1), 1024)
+        self.n = points.count()
+        n_cells = min(max(-(-self.n // block_rows), 1), 1024)
         self.centres = sample_centres(points, n_cells)
         celled = to_nearest_cells(points, self.centres, with_distance=True)
         self.rows = keep(celled.join(scalars.select("id", "core"), "id"), "celled")
@@ -254,15 +255,16 @@ class _ForeignSearch:
             .select("id", "comp", "reach", "bound"),
             "unresolved",
         )
-        if need.isEmpty():
+        asking, bounded = need.agg(F.count("*"), F.count("bound")).first()
+        if asking == 0:
             return asked
-        searched = self._search(comp, need)
+        searched = self._search(comp, need, asking, bounded < asking)
         edge = F.struct("w", "lo", "hi", "other").alias("edge")
         return _best(asked.select("v", edge).unionByName(searched.select("v", edge)))
 
-    def _search(self, comp: DataFrame, need: DataFrame) -> DataFrame:
+    def _search(self, comp: DataFrame, need: DataFrame, asking: int, unbounded: bool) -> DataFrame:
         wanted = self.rows.select("id", "vec", "core").join(need, "id")
-        if not need.where(F.col("bound").isNull()).isEmpty():
+        if unbounded:
             wanted = self._bounded_by_landmarks(comp, keep(wanted, "unbounded"))
         queries = wanted.select(
             "id", "vec", "core", "comp", F.coalesce("bound", F.lit(float("inf"))).alias("bound")
@@ -280,7 +282,8 @@ class _ForeignSearch:
         def func(a: pa.Table, b: pa.Table) -> pa.Table:
             return _lightest_between(a, b).cast(_arrow(schema))
 
-        return pair_blocks(routed, train, func, schema, self.block_rows, len(self.centres) > 1)
+        sizes = (asking, self.n)
+        return pair_blocks(routed, train, func, schema, self.block_rows, len(self.centres) > 1, sizes)
 
     def _bounded_by_landmarks(self, comp: DataFrame, wanted: DataFrame) -> DataFrame:
         """Bound components without a known edge by their distance to sampled points.
