@@ -43,10 +43,12 @@ def local_scales(knn: DataFrame, n_neighbors: int) -> DataFrame:
     @F.pandas_udf("double")
     def sigma(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for gaps in batches:
-            width = max((len(g) for g in gaps), default=0)
-            padded = np.full((len(gaps), width), np.inf)  # exp(-inf) = 0
-            for i, g in enumerate(gaps):
-                padded[i, : len(g)] = g
+            if len(gaps) == 0:
+                yield pd.Series([], dtype=float)
+                continue
+            lengths = gaps.str.len().to_numpy()
+            padded = np.full((len(gaps), lengths.max()), np.inf)  # exp(-inf) = 0
+            padded[np.arange(lengths.max()) < lengths[:, None]] = np.concatenate(gaps.to_numpy())
             yield pd.Series(_bandwidths(padded, target))
 
     return rows.select("id", "rho", sigma("gaps").alias("sigma"), "dsts", "dists")
