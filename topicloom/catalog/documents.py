@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from topicloom.catalog.registry import RAW, STOP_WORDS, VECTORS, query, raw, table, vectors
+from topicloom.catalog.registry import RAW, VECTORS, query, raw, table, vectors
 from topicloom.functions.text import truncate, word_count
 from topicloom.functions.vectors import mean_pool, normalise
 from topicloom.operators import cleaning, language

@@ -2,12 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from topicloom.catalog.registry import VECTORS, query, raw, table, vectors
-from topicloom.functions.vectors import cosine, xy
+from topicloom.catalog.registry import VECTORS, query, table, vectors
+from topicloom.functions.vectors import cosine, squared_distance, xy
 from topicloom.operators import neighbours, outliers, views
 from topicloom.operators.dedupe import dedupe_map, undo_dedupe, unique_rows
 from topicloom.operators.fuzzy import fuzzy_graph, local_scales
-from topicloom.operators.layout import layout
 from topicloom.plans.cluster import reduce_vectors
 from topicloom.workspace import keep
 
@@ -69,7 +68,7 @@ def capped(spark, folder):
     return rounded(neighbours.knn_exact(rows, rows, 10, max_dist=1.3)).drop("rank")
 
 
-# Texts stand for vectors with copies: the vector of a text is its source's mean shape.
+# The given vectors are all different; (length, length mod 7) of the texts has copies.
 _COPIES = """, shaped AS (SELECT doc_id AS id, [CAST(n_chars AS DOUBLE), CAST(length(text) % 7 AS DOUBLE)] AS vec FROM documents)"""
 
 
@@ -103,8 +102,6 @@ def undo(spark, folder):
 SELECT e.id, round(power(list_distance(vec, other), 2), 6) AS dist, round(list_cosine_similarity(vec, other), 6) + 0.0 AS cos
 FROM emb e JOIN nxt n ON n.id = e.id""")
 def distances(spark, folder):
-    from topicloom.functions.vectors import squared_distance
-
     rows = vectors(spark, folder)
     shifted = rows.select((F.col("id") - 1).alias("id"), F.col("vec").alias("other"))
     return rows.join(shifted, "id").select(

@@ -28,7 +28,7 @@ ROOT_CHAIN = -1
 @dataclass
 class MergeTree:
     """``merges``: e, w, chain, size, prev (size before this merge), leaves, hang0, hang1;
-    ``leaf``: (v, e), the first merge of each point; ``lead`` points of the tree: ``n``."""
+    ``leaf``: (v, e), the first merge of each point; ``n``: the number of points."""
 
     merges: DataFrame
     leaf: DataFrame
