@@ -8,9 +8,12 @@ lineage ends at the files, and the optimizer knows the table's real size.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,6 +23,25 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 _local_roots: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Python functions of the operators are pickled by reference, so the workers must be able
+    to import the package whatever their working directory is.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="topicloom-code-"), "topicloom.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
 
 
 def scratch_root(spark: SparkSession) -> str:
