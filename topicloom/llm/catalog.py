@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import mixing, quality_rules, warc
+from topicloom.llm import bpe_automaton, mixing, quality_classifier, quality_rules, warc
 from topicloom.workspace import scratch_root, ship
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +135,17 @@ def op9(spark, folder):
     return records.where(F.col("record_type") != "gap").select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("op10_bpe_automaton")
+def op10(spark, folder):
+    out = bpe_automaton.encode_decode(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query("op7_quality_classifier")
+def op7(spark, folder):
+    return quality_classifier.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -1,7 +1,8 @@
 """WARC archives: write pages as records, read archives back and salvage damaged ones.
 
-Archives are written by Spark's text writer with the record separator as line separator, so
-the files land in any store Spark can write to, one archive per task.  The reader parses
+Archives are written by Spark's text writer, so the files land in any store Spark can write
+to, one archive per task: each record is a gzip member of its own, and an empty member stands
+between two (plain archives have the record separator there).  The reader parses
 whole archive files in Arrow batches; every check that fails (version line, header block,
 length, digest, gzip member) starts a search for the next valid member or version line, and
 the bytes skipped are logged as a quarantined gap.
@@ -16,9 +17,11 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicloom.llm.bpe_automaton import slices
 from topicloom.llm.text import inputs
 
 # Fixed values of the format.
@@ -28,6 +31,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 _START = re.compile(rb"WARC/1\.[01]\r\n")
 _GZIP = b"\x1f\x8b\x08"
 _CHUNK = 1 << 16
+_END = b"\r\n\r\n"
+_EMPTY_MEMBER = _GZIP + bytes(6) + b"\xff\x03\x00" + bytes(8)
 RECORD_SCHEMA = (
     "file string, position long, record_type string, page_id long, url string, payload binary, "
     "payload_bytes long, payload_digest string, refers_to long"
@@ -96,7 +101,18 @@ def _record(date: str) -> Column:
         F.octet_length(body).cast("string"),
         F.lit(end + end),
     )
-    return F.concat(head.cast("binary"), body).cast("string")
+    return F.concat(head.cast("binary"), body)
+
+
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        values = batch.column(0)
+        for start, length in slices(values):
+            members = []
+            for record in values.slice(start, length).to_pylist():
+                packer = zlib.compressobj(4, zlib.DEFLATED, 31)
+                members.append(packer.compress(record) + packer.compress(_END) + packer.flush())
+            yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], names=["value"])
 
 
 def write_archives(
@@ -107,6 +123,7 @@ def write_archives(
     html_col: str = "html",
     min_bytes: int = 0,
     date: str = "2024-01-01T00:00:00Z",
+    compress: bool = True,
 ) -> None:
     """Write one record per row of ``pages`` below ``path``.
 
@@ -115,7 +132,13 @@ def write_archives(
     (no record revisits itself).
     """
     rows = with_revisits(inputs(pages, _id=id_col, _url=url_col, _html=html_col), min_bytes)
-    rows.select(_record(date).alias("value")).write.option("lineSep", "\r\n\r\n").text(path)
+    records, between = rows.select(_record(date).alias("value")), _END
+    if compress:
+        records, between = records.mapInArrow(_compressed, "value binary"), _EMPTY_MEMBER
+    # A string column holds the raw bytes; the separator is given in one byte per letter.
+    records.select(F.col("value").cast("string")).write.options(
+        lineSep=between.decode("latin-1"), encoding="ISO-8859-1"
+    ).text(path)
 
 
 def _number(value: bytes | None) -> int | None:
