@@ -32,6 +32,8 @@ HIDDEN = 32
 EPOCHS = 30
 SAMPLE = 12_000
 CHUNK = 50_000
+# The shape of a word that repeats the one before it.
+_REPEATED = BUCKETS + zlib.crc32(b"=") % BUCKETS
 _CACHE = 500_000
 _SHAPES = (
     (re.compile(rb"[a-z\x80-\xff]+"), b"a"),
@@ -66,7 +68,9 @@ class Buckets:
                 pair = known[word] = (zlib.crc32(word.lower()) % BUCKETS, form)
             pairs.append(pair)
         both = np.array(pairs, dtype=np.int32).reshape(-1, 2)
-        return both[:, 0], both[:, 1]
+        words, shapes = both[:, 0], both[:, 1].copy()
+        shapes[1:][words[1:] == words[:-1]] = _REPEATED
+        return words, shapes
 
 
 def index_vectors(seed: int = 11) -> np.ndarray:
