@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import bpe_automaton, mixing, quality_classifier, quality_rules, warc
+from topicloom.llm import bpe_automaton, mixing, quality_classifier, quality_rules, toxicity, warc
 from topicloom.workspace import scratch_root, ship
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,8 @@ def op10(spark, folder):
 @query("op7_quality_classifier")
 def op7(spark, folder):
     return quality_classifier.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op2_toxicity")
+def op2(spark, folder):
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
