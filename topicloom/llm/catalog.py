@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import bpe_automaton, mixing, quality_classifier, quality_rules, toxicity, warc
+from topicloom.llm import bpe_automaton, mixing, pii_crf, quality_classifier, quality_rules, toxicity, warc
 from topicloom.workspace import scratch_root, ship
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,12 @@ def op7(spark, folder):
 @query("op2_toxicity")
 def op2(spark, folder):
     return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op6_pii_skip_chain")
+def op6(spark, folder):
+    found = pii_crf.find_pii(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans",
+    )
