@@ -9,7 +9,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import bpe_automaton, mixing, pii_crf, quality_classifier, quality_rules, toxicity, warc
+from topicloom.llm import (
+    bpe_automaton,
+    jaccard_join,
+    mixing,
+    pii_crf,
+    quality_classifier,
+    quality_rules,
+    toxicity,
+    warc,
+)
 from topicloom.workspace import scratch_root, ship
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +172,24 @@ def op6(spark, folder):
         "doc_id", "n_email", "n_ip", "n_card", "n_phone",
         F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans",
     )
+
+
+JACCARD_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SPACE_SQL}+'),
+           lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(CASE WHEN len(w) >= 5 THEN range(1, len(w) - 3) ELSE range(1, least(len(w), 1) + 1) END) AS i FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * p.c >= 80 * (x.n + y.n - p.c)),
+r AS (SELECT doc_id AS v, doc_id AS c FROM d UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.v AND r.c < l.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, min(r.c)) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN r ON r.v = d.doc_id GROUP BY d.doc_id, n.n"""
+
+
+@query("op5_ngram_jaccard_join", JACCARD_SQL)
+def op5(spark, folder):
+    return jaccard_join.near_duplicates(table(spark, folder, "documents"))
