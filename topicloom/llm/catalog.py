@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from topicloom.llm import (
     bpe_automaton,
+    embedding_dedup,
     jaccard_join,
     mixing,
     pii_crf,
@@ -193,3 +194,22 @@ FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN r ON r.v = d.doc_id GROUP BY
 @query("op5_ngram_jaccard_join", JACCARD_SQL)
 def op5(spark, folder):
     return jaccard_join.near_duplicates(table(spark, folder, "documents"))
+
+
+EMBEDDING_SQL = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.v) = len(b.v) AND list_dot_product(a.v, b.v) >= 0.93 * (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v)))),
+r AS (SELECT vec_id AS v, vec_id AS c FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.v AND r.c < l.b),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT m.vec_id, coalesce(n.n, 0) AS n_links, least(m.vec_id, min(r.c)) AS component_id, m.vec_id = least(m.vec_id, min(r.c)) AS kept
+FROM embeddings m LEFT JOIN n ON n.a = m.vec_id LEFT JOIN r ON r.v = m.vec_id GROUP BY m.vec_id, n.n"""
+
+
+@query("op8_embedding_near_dedup", EMBEDDING_SQL)
+def op8(spark, folder):
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
