@@ -13,6 +13,7 @@ from topicloom.llm import (
     bpe_automaton,
     embedding_dedup,
     jaccard_join,
+    licenses,
     mixing,
     pii_crf,
     quality_classifier,
@@ -213,3 +214,30 @@ FROM embeddings m LEFT JOIN n ON n.a = m.vec_id LEFT JOIN r ON r.v = m.vec_id GR
 @query("op8_embedding_near_dedup", EMBEDDING_SQL)
 def op8(spark, folder):
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+def _license_sql() -> str:
+    cases = " ".join(f"WHEN regexp_matches(s, '{p}') THEN '{n}'" for n, p in licenses.SENTENCES)
+    matched = "' ' || array_to_string(ids, '  ') || ' '"
+    for name, run in licenses.RULES:
+        matched = f"replace({matched}, '{''.join(f' {i} ' for i in run)}', ' ={name} ')"
+    return f"""
+WITH parts AS (
+  SELECT row_number() OVER () AS rn, doc_id, CASE WHEN regexp_matches(text, '(?i){licenses.VOCABULARY}') THEN
+    list_filter(string_split(regexp_replace(text, '([.;!?])\\s+|\\n\\s*\\n', '\\1' || chr(1), 'g'), chr(1)),
+      lambda x: regexp_matches(x, '(?i){licenses.VOCABULARY}')) ELSE [] END AS p FROM documents),
+named AS (
+  SELECT doc_id, list_filter(list_transform(list_transform(p, lambda x:
+      trim(regexp_replace(lower(x), '[^a-z0-9.+/-]+|[.]+(?: |$)|(?:^| )[./*#-]+(?: |$)', ' ', 'g'))),
+    lambda s: CASE {cases} END), lambda x: x IS NOT NULL) AS ids FROM parts),
+done AS (SELECT doc_id, ids, list_filter(regexp_split_to_array({matched}, ' +'), lambda x: x <> '') AS items FROM named)
+SELECT doc_id, array_to_string(ids, ' ') AS sentences,
+       array_to_string(list_sort(list_distinct(list_transform(list_filter(items, lambda i: starts_with(i, '=')), lambda i: substr(i, 2)))), ' ') AS licenses,
+       array_to_string(list_filter(items, lambda i: NOT starts_with(i, '=')), ' ') AS unmatched
+FROM done"""
+
+
+@query("op3_license_sentences", _license_sql())
+def op3(spark, folder):
+    found = licenses.scan(table(spark, folder, "documents"))
+    return found.select("doc_id", *[F.array_join(c, " ").alias(c) for c in ("sentences", "licenses", "unmatched")])
