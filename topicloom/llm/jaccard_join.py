@@ -38,7 +38,7 @@ N = 5
 # Similarity 0.8 as whole numbers: 100 * intersection >= 80 * union.
 PERCENT = 80
 SALTS = 8
-FLUSH = 1_500_000  # keys a task holds before it sends them off
+FLUSH = 1_000_000  # keys a task holds before it sends them off
 WEAK_PRICE = 8.0
 KEY_BYTES = 5  # of a key within its bucket; a chance collision is only one more candidate
 HOT = 64  # documents of one flush with the same key from which they are sent as a group
@@ -64,7 +64,7 @@ class Shingles:
         for word in (text or "").encode("utf-8", "surrogatepass").lower().split():
             value = known.get(word)
             if value is None:
-                if len(known) >= 500_000:
+                if len(known) >= 300_000:
                     known.clear()
                 value = known[word] = xxhash.xxh3_64_intdigest(word)
             hashes.append(value)
@@ -79,8 +79,8 @@ class Shingles:
             return total
         total = np.full(len(h) - N + 1, N, dtype=np.uint64)
         for i in range(N):
-            total = mix(total * _P + h[i : len(h) - N + 1 + i])
-        return np.unique(total)
+            total = total * _P + h[i : len(h) - N + 1 + i]
+        return np.unique(mix(total))
 
 
 class Scheme:
@@ -129,8 +129,10 @@ class Scheme:
             parts = self.singles + 2 * self.pairs
             cell = ((place >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
             seg = np.where(cell < self.singles, cell, self.singles + (cell - self.singles) // 2)
-            order = np.argsort(seg, kind="stable")
-            seg, value = seg[order], mix(place[order] * _M1 + _P)
+            # Sorting 16-bit numbers is much faster, and nearly all schemes fit.
+            short = seg.astype(np.uint16) if self.singles + self.pairs < 1 << 16 else seg
+            order = np.argsort(short, kind="stable")
+            seg, value = seg[order], place[order]
             first = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
             sums = np.add.reduceat(value, first)
             ids = seg[first]
@@ -150,7 +152,7 @@ class Scheme:
         else:
             # Thin in every partition: those few documents share one key of the scheme.
             out.append(np.array([mix(np.array([self.number + 1], dtype=np.uint64))[0] ^ _M2], dtype=np.uint64))
-        return np.unique(np.concatenate(out))
+        return np.concatenate(out)
 
 
 @lru_cache(maxsize=None)
@@ -218,37 +220,40 @@ def _from_planes(data: bytes, width: int) -> np.ndarray:
 
 
 def postings(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Members of every key that at least two documents share: ``_key``, ``_hub``, ``_id``.
+    """Members of every key that at least two documents share: ``_key``, ``_id``, ``_hub`` (least id
+    of the group), ``_before`` (the member before this one).
 
     A task sends its keys in packed blobs, one per bucket, and each set only once.  A key that
     many documents of a flush share is sent as a group of its own with only its least id in
     the bucket, so that a bucket holds at most ``HOT`` ids of a key per flush.
     """
-    buckets = 4 * max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    buckets = min(4 * max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1), 1 << 22)
+    low = np.uint64(8 * KEY_BYTES)
 
     def pack(keys: list, ids: list) -> Iterator[pa.RecordBatch]:
-        key, owner = np.concatenate(keys) % np.uint64(buckets << 8 * KEY_BYTES), np.concatenate(ids)
-        order = np.lexsort((owner, key))
+        key, owner = np.concatenate(keys), np.concatenate(ids)
+        # The bucket on top of the key's own bits: one sort brings buckets and keys together.
+        key = (key >> low) % np.uint64(buckets) << low | key & np.uint64((1 << 8 * KEY_BYTES) - 1)
+        order = np.argsort(key)
         key, owner = key[order], owner[order]
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         counts = np.diff(np.r_[first, len(key)])
         out = []
         plain = np.ones(len(key), dtype=bool)
         for i in np.flatnonzero(counts >= HOT):
-            run = slice(first[i], first[i] + counts[i])
-            plain[first[i] + 1 : first[i] + counts[i]] = False
-            out.append((int(key[first[i]] % np.uint64(buckets)), key[run][:1], owner[run], True))
+            start, stop = first[i], first[i] + counts[i]
+            owner[start:stop] = np.sort(owner[start:stop])
+            plain[start + 1 : stop] = False
+            out.append((int(key[start] >> low), key[start : start + 1], owner[start:stop].copy(), True))
         key, owner = key[plain], owner[plain]
-        bucket = (key % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        bucket, key, owner = bucket[order], key[order], owner[order]
+        bucket = (key >> low).astype(np.int64)
         first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
         for a, b in zip(first, [*first[1:], len(bucket)]):
             out.append((int(bucket[a]), key[a:b], owner[a:b], False))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([o[0] for o in out], pa.int32()),
-                pa.array([_planes(o[1] // np.uint64(buckets), KEY_BYTES) for o in out], pa.binary()),
+                pa.array([_planes(o[1], KEY_BYTES) for o in out], pa.binary()),
                 pa.array([_planes(o[2], 8) for o in out], pa.binary()),
                 pa.array([o[3] for o in out], pa.bool_()),
             ],
@@ -267,7 +272,7 @@ def postings(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
                     sign = xxhash.xxh3_128_intdigest(hashes.tobytes())
                     if not len(hashes) or sign in seen:
                         continue
-                    if len(seen) >= 1_000_000:
+                    if len(seen) >= 200_000:
                         seen.clear()
                     seen.add(sign)
                     keys.append(keys_of(hashes, percent))
@@ -281,33 +286,41 @@ def postings(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     def match(table: pa.Table) -> pa.Table:
         hot = np.asarray(table["_hot"])
-        bucket = np.uint64(table["_bucket"][0].as_py())
-        keys = [
-            _from_planes(k, KEY_BYTES).view(np.uint64) * np.uint64(buckets) + bucket
-            for k in table["_keys"].to_pylist()
-        ]
+        top = np.int64(table["_bucket"][0].as_py()) << np.int64(8 * KEY_BYTES)
+        keys = [_from_planes(k, KEY_BYTES) | top for k in table["_keys"].to_pylist()]
         ids = [_from_planes(i, 8) for i in table["_ids"].to_pylist()]
-        found = [
-            (np.full(len(i), k[0]), np.full(len(i), i[0]), i) for k, i, h in zip(keys, ids, hot) if h
-        ]
+        key, owner, hub, before = [], [], [], []
+        for k, i, is_hot in zip(keys, ids, hot):
+            if is_hot:
+                key.append(np.full(len(i), k[0]))
+                owner.append(i)
+                hub.append(np.full(len(i), i[0]))
+                before.append(np.r_[i[0], i[:-1]])
         keys, ids = [k for k, h in zip(keys, hot) if not h], [i for i, h in zip(ids, hot) if not h]
         if keys:
-            key, owner = np.concatenate(keys), np.concatenate(ids)
-            order = np.lexsort((owner, key))
-            key, owner = key[order], owner[order]
-            fresh = np.r_[True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])]
-            key, owner = key[fresh], owner[fresh]
-            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            counts = np.diff(np.r_[first, len(key)])
-            take = np.repeat(counts > 1, counts)
-            found.append((key[take], np.repeat(owner[first], counts)[take], owner[take]))
-        parts = [np.concatenate([f[i] for f in found]) if found else np.array([], np.int64) for i in range(3)]
-        return pa.table(
-            {"_key": parts[0].astype(np.uint64).view(np.int64), "_hub": parts[1].astype(np.int64), "_id": parts[2].astype(np.int64)}
-        )
+            k, i = np.concatenate(keys), np.concatenate(ids)
+            order = np.argsort(k)
+            k, i = k[order], i[order]
+            new = np.r_[True, k[1:] != k[:-1]]
+            shared = ~(new & np.r_[new[1:], True])  # most keys have one document and end here
+            k, i = k[shared], i[shared]
+            order = np.lexsort((i, k))
+            k, i = k[order], i[order]
+            fresh = np.r_[True, (k[1:] != k[:-1]) | (i[1:] != i[:-1])] if len(k) else np.zeros(0, bool)
+            k, i = k[fresh], i[fresh]
+            first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.zeros(0, int)
+            counts = np.diff(np.r_[first, len(k)])
+            take, last = np.repeat(counts > 1, counts), np.r_[i[:1], i[:-1]]
+            last[first] = i[first]
+            key.append(k[take])
+            owner.append(i[take])
+            hub.append(np.repeat(i[first], counts)[take])
+            before.append(last[take])
+        columns = {"_key": key, "_hub": hub, "_before": before, "_id": owner}
+        return pa.table({c: np.concatenate(v).astype(np.int64) if v else np.zeros(0, np.int64) for c, v in columns.items()})
 
     blobs = rows.mapInArrow(emit, "_bucket int, _keys binary, _ids binary, _hot boolean")
-    return blobs.groupBy("_bucket").applyInArrow(match, "_key long, _hub long, _id long")
+    return blobs.groupBy("_bucket").applyInArrow(match, "_key long, _hub long, _before long, _id long")
 
 
 def _sets(rows: DataFrame) -> DataFrame:
@@ -340,7 +353,8 @@ def _plausible(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Pairs (``u``, ``v``, other columns) that sizes and bitmaps do not rule out."""
     a = sizes.select(F.col("_id").alias("u"), F.struct("_n", "_bits").alias("a"))
     b = sizes.select(F.col("_id").alias("v"), F.struct("_n", "_bits").alias("b"))
-    return pairs.join(a, "u").join(b, "v").where(_could_link(percent)).drop("a", "b")
+    could = F.coalesce(_could_link(percent), F.lit(True))
+    return pairs.join(a, "u").join(b, "v").where(could).drop("a", "b")
 
 
 def verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
@@ -368,48 +382,73 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with a null id links with nothing and has a null component.  An empty table gives no rows.
     """
     rows = inputs(docs, _id=id_col, _text=text_col).withColumn("_id", F.col("_id").cast("long"))
-    stats = keep(signatures(rows), "jaccard-sets")
+    stats = keep(signatures(rows), "jaccard-stats")
     usable = stats.where("_n > 0 AND _id IS NOT NULL")
-    # One vertex per set: the least id that has it.
-    reps = usable.groupBy("_sig").agg(F.min("_id").alias("_rep"), F.first("_n").alias("_n"), F.first("_bits").alias("_bits"))
-    vertices = keep(reps, "jaccard-reps")
-    named = keep(usable.select("_id", "_sig").join(vertices.select("_sig", "_rep"), "_sig").select("_id", "_rep").distinct(), "jaccard-names")
-    sizes = vertices.select(F.col("_rep").alias("_id"), "_n", "_bits")
+    # Copies hang on the least id that has their set.
+    least = usable.groupBy("_sig").agg(F.min("_id").alias("_rep"))
+    copies = keep(
+        usable.select("_id", "_sig").join(least, "_sig").where("_id != _rep").select(F.col("_id").alias("u"), F.col("_rep").alias("v")),
+        "jaccard-copies",
+    )
+    # An id with several sets is not ruled out by any of them.
+    one = F.min("_sig") == F.max("_sig")
+    sizes = usable.groupBy("_id").agg(F.when(one, F.first("_n")).alias("_n"), F.when(one, F.first("_bits")).alias("_bits"))
 
     texts = rows.where("_id IS NOT NULL")
-    raw = postings(texts, percent)
-    names = named.select("_id", "_rep")
-    members = keep(
-        raw.join(names, "_id").join(names.select(F.col("_id").alias("_hub"), F.col("_rep").alias("_top")), "_hub")
-        .select("_key", F.col("_top").alias("v"), F.col("_rep").alias("u")),
-        "jaccard-members",
-    )
+    members = keep(postings(texts, percent), "jaccard-members")
     # First each document against the one hub it shares most keys with.
-    hubs = _plausible(members.where("u != v").groupBy("u", "v").count(), sizes, percent)
-    best = hubs.groupBy("u").agg(F.max(F.struct("count", (-F.col("v")).alias("v"))).alias("m"))
-    pairs = keep(best.select("u", (-F.col("m.v")).alias("v")), "jaccard-pairs")
-    links = verified(pairs, texts, percent)
-    same_id = named.groupBy("_id").agg(F.min("_rep").alias("v"), F.collect_set("_rep").alias("all")).where(F.size("all") > 1)
-    fixed = same_id.select(F.explode("all").alias("u"), "v")
-    labels = components(links.union(fixed))
-
-    # Then the pairs that share a key and are still apart.
-    placed = members.select("_key", "u").distinct().join(
-        labels.select(F.col("vertex").alias("u"), "component"), "u", "left"
-    ).withColumn("c", F.coalesce("component", "u"))
+    stars = keep(
+        members.where("_id != _hub").groupBy(F.col("_id").alias("u"), F.col("_hub").alias("v")).agg(F.count("*").alias("n")),
+        "jaccard-stars",
+    )
+    best = _plausible(stars, sizes, percent).groupBy("u").agg(F.max(F.struct("n", (-F.col("v")).alias("v"))).alias("m"))
+    links = verified(keep(best.select("u", (-F.col("m.v")).alias("v")), "jaccard-pairs"), texts, percent)
+    labels = keep(components(links.union(copies)), "jaccard-labels")
+
+    # Then, where a key joins documents still apart, each against the member before it.
+    open_ = keep(_open(members, stars, labels), "jaccard-open")
+    steps = open_.where("_id != _before").select(F.col("_id").alias("u"), F.col("_before").alias("v")).distinct()
+    links = links.union(verified(keep(_plausible(_apart(steps, labels), sizes, percent), "jaccard-pairs"), texts, percent))
+    labels = keep(components(links.union(copies)), "jaccard-labels")
+
+    # At last all pairs that share a key and are still apart.
+    placed = _labelled(open_.select("_key", F.col("_id").alias("u")).distinct(), labels, "u", "c")
     mixed = placed.groupBy("_key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high")
-    open_ = keep(placed.join(mixed.select("_key", "low"), "_key").select("_key", "u", "c", "low"), "jaccard-open")
-    minor = open_.where("c != low").select("_key", F.col("u").alias("x"), F.col("c").alias("d"))
-    apart = minor.join(open_.select("_key", F.col("u").alias("y"), F.col("c").alias("e")), "_key").where("d != e")
-    rest = apart.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
-    rest = keep(_plausible(rest, sizes, percent).join(pairs, ["u", "v"], "left_anti"), "jaccard-rest")
-    more = verified(rest, texts, percent)
-    final = components(links.union(fixed).union(more))
-
-    of_set = vertices.select("_sig", F.col("_rep")).join(final.withColumnRenamed("vertex", "_rep"), "_rep", "left")
-    of_set = of_set.select("_sig", F.coalesce("component", "_rep").alias("_component"))
-    out = stats.join(of_set, "_sig", "left")
+    left = placed.join(mixed.select("_key", "low"), "_key").join(sizes.withColumnRenamed("_id", "u"), "u")
+    left = keep(left.select("_key", "u", "c", "low", F.struct("_n", "_bits").alias("s")), "jaccard-left")
+    minor = left.where("c != low").select("_key", F.col("u").alias("x"), F.col("c").alias("d"), F.col("s").alias("a"))
+    major = left.select("_key", F.col("u").alias("y"), F.col("c").alias("e"), F.col("s").alias("b"))
+    # Sizes and bitmaps are compared inside the join: of a group's pairs only those pass that
+    # may be linked.
+    apart = (minor["_key"] == major["_key"]) & (F.col("d") != F.col("e")) & F.coalesce(_could_link(percent), F.lit(True))
+    pairs = minor.join(major, apart).select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
+    more = verified(keep(pairs, "jaccard-pairs"), texts, percent)
+    final = components(links.union(copies).union(more)).withColumnRenamed("vertex", "_id")
+
+    out = stats.join(final, "_id", "left")
     return out.select(
-        F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"),
-        F.when(F.col("_id").isNotNull(), F.coalesce("_component", "_id")).alias("component_id"),
+        F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), F.coalesce("component", "_id").alias("component_id")
     )
+
+
+def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
+    """Add the component of ``column`` as ``name``; a vertex without an edge is its own."""
+    known = labels.select(F.col("vertex").alias(column), F.col("component").alias("_c"))
+    return rows.join(known, column, "left").withColumn(name, F.coalesce("_c", column)).drop("_c")
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose ends lie in different components."""
+    both = _labelled(_labelled(pairs, labels, "u", "_cu"), labels, "v", "_cv")
+    return both.where("_cu != _cv").drop("_cu", "_cv")
+
+
+def _open(members: DataFrame, stars: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the keys in which a document and its hub are in different components.
+
+    Every member hangs on a hub and every hub of a group on the key's, so a key without such
+    a pair lies in one component.
+    """
+    apart = keep(_apart(stars, labels).select(F.col("u").alias("_id"), F.col("v").alias("_hub")), "jaccard-apart")
+    keys = keep(members.join(small(apart), ["_id", "_hub"], "left_semi").select("_key").distinct(), "jaccard-keys")
+    return members.join(small(keys), "_key", "left_semi")
