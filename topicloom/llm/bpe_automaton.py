@@ -24,6 +24,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from topicloom.llm.text import inputs
 
@@ -185,16 +186,23 @@ _SCHEMA = "n_tokens long, ids binary, decoded string"
 
 
 def encode_decode(
-    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = True
+    docs: DataFrame,
+    tokenizer: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    decoded: bool = True,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Encode every text and decode it again: id, n_tokens, ids, decoded.
+    """Encode every text and decode it again: id, carried columns, n_tokens, ids, decoded.
 
     ``tokenizer``: path of a tokenizer file on the driver; the compiled automaton, whose size
     is fixed by that file, is broadcast.  ``ids`` are little-endian unsigned 32-bit integers.
     Null texts are empty ones: no ids and an empty decoded text.  Null ids, repeated rows and
     very long texts are treated like others; further columns are ignored.
     """
-    rows = inputs(docs, _id=id_col, _text=text_col)
+    names = (id_col, text_col, *carry)
+    rows = inputs(docs, **{f"_c{i}": c for i, c in enumerate(names)})
+    kept = [f for i, f in enumerate(rows.schema.fields) if i != 1]
     model = docs.sparkSession.sparkContext.broadcast(WordBPE(tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,19 +210,22 @@ def encode_decode(
         for batch in batches:
             texts = batch.column(1)
             for start, length in slices(texts):
-                ids = [bpe.encode(t or "") for t in texts.slice(start, length).to_pylist()]
+                part = batch.slice(start, length)
+                ids = [bpe.encode(t or "") for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(start, length),
+                        *[part.column(i) for i in range(part.num_columns) if i != 1],
                         pa.array([len(x) // 4 for x in ids], pa.int64()),
                         pa.array(ids, pa.binary()),
                         pa.array([bpe.decode(x) if decoded else None for x in ids], pa.string()),
                     ],
-                    names=["_id", "n_tokens", "ids", "decoded"],
+                    names=[*[f.name for f in kept], "n_tokens", "ids", "decoded"],
                 )
 
-    kind = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"_id {kind}, {_SCHEMA}").withColumnRenamed("_id", id_col)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+    out = rows.mapInArrow(run, f"{schema}, {_SCHEMA}")
+    back = {f"_c{i}": c for i, c in enumerate(names)}
+    return out.select(*[F.col(n).alias(back.get(n, n)) for n in out.columns])
 
 
 def slices(texts: pa.Array, limit: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:

@@ -119,7 +119,7 @@ FROM ordered GROUP BY doc_id, size, source_size, target, grp, digest, cum"""
 
 @query("op4_mix_sources", MIX_SQL)
 def op4(spark, folder):
-    return mixing.mix(table(spark, folder, "documents"))
+    return mixing.mix(table(spark, folder, "documents")).drop("source")
 
 
 B32 = " || ".join(

@@ -12,7 +12,7 @@ third of all rows spreads over many tasks, and so does the global order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicloom.llm.text import inputs, words_of
@@ -73,7 +73,7 @@ def mix(
     passes: int = 2,
     seed: str = "mix",
 ) -> DataFrame:
-    """How often each row enters the mix: id, size, source_size, target, taken.
+    """How often each row enters the mix: id, source, size, source_size, target, taken.
 
     ``taken`` is ``size`` times the number of passes in which the document comes before the
     budget ends.  Documents without words have size 0 and take 0.  A null source is a source
@@ -93,11 +93,33 @@ def mix(
     targets = source_targets(totals, weights, share, passes)
     taken = fair_queue(sized, targets.withColumn("_group", group).drop("_source"), share, passes)
     return taken.select(
-        F.col("_id").alias(id_col), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
-        F.col("_target").alias("target"), F.col("_taken").alias("taken"),
+        F.col("_id").alias(id_col), F.col("_source").alias("source"), F.col("_size").alias("size"),
+        F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"),
     )
 
 
+def repeat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it (see ``mix``).
+
+    Rows without words cost nothing and stay once.  Repeated rows share what they take as
+    evenly as it goes.
+    """
+    plan = mix(docs, id_col, text_col, source_col, **options)
+    turns = F.when(F.col("size") == 0, 1).otherwise(F.col("taken") / F.col("size")).cast("long")
+    plan = plan.groupBy(F.col(id_col).alias("_pi"), F.col("source").alias("_ps"), F.col("size").alias("_pz")).agg(
+        F.sum(turns).alias("_t"), F.count("*").alias("_k")
+    )
+    sized = docs.withColumn("_size", word_number(F.col(text_col)))
+    same = sized[id_col].eqNullSafe(plan["_pi"]) & sized[source_col].eqNullSafe(plan["_ps"]) & (F.col("_size") == F.col("_pz"))
+    joined = sized.join(plan, same)
+    each = F.floor(F.col("_t") / F.col("_k")).cast("int")
+    even = joined.where("_t % _k = 0").withColumn("_n", each)
+    place = F.row_number().over(Window.partitionBy("_pi", "_ps", "_pz").orderBy(text_col))
+    uneven = joined.where("_t % _k != 0").withColumn("_n", each + (place <= F.col("_t") % F.col("_k")).cast("int"))
+    rows = even.unionByName(uneven).where("_n > 0")
+    return rows.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+
+
 def fair_queue(sized: DataFrame, targets: DataFrame, share: float = 1.5, passes: int = 2) -> DataFrame:
     """Serve documents by virtual finish time until the budget ends; adds the targets and ``_taken``.
 

@@ -209,7 +209,8 @@ def score(docs: DataFrame, vectors: np.ndarray, network: Network, id_col: str =
     Null and empty texts are pooled as zero vectors and get the network's answer to them;
     null ids and repeated rows are scored like others.
     """
-    rows = inputs(docs, **{f"_c{i}": c for i, c in enumerate((id_col, text_col, *carry))})
+    columns = (id_col, text_col, *[c for c in carry if c not in (id_col, text_col)])
+    rows = inputs(docs, **{f"_c{i}": c for i, c in enumerate(columns)})
     shared = docs.sparkSession.sparkContext.broadcast((vectors, network))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +227,7 @@ def score(docs: DataFrame, vectors: np.ndarray, network: Network, id_col: str =
     names = [*[f.name for f in kept], "score"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", score double"
     out = rows.mapInArrow(run, schema)
-    back = {f"_c{i}": c for i, c in enumerate((id_col, text_col, *carry))}
+    back = {f"_c{i}": c for i, c in enumerate(columns)}
     return out.select(*[F.col(n).alias(back.get(n, n)) for n in names])
 
 
