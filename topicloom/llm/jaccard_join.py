@@ -220,8 +220,8 @@ def _from_planes(data: bytes, width: int) -> np.ndarray:
 
 
 def postings(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Members of every key that at least two documents share: ``_key``, ``_id``, ``_hub`` (least id
-    of the group), ``_before`` (the member before this one).
+    """Members of every key that at least two documents share: ``_key`` (equal for keys with equal
+    members), ``_id``, ``_hub`` (least id of the group), ``_before`` (the member before this one).
 
     A task sends its keys in packed blobs, one per bucket, and each set only once.  A key that
     many documents of a flush share is sent as a group of its own with only its least id in
@@ -292,7 +292,7 @@ def postings(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
         key, owner, hub, before = [], [], [], []
         for k, i, is_hot in zip(keys, ids, hot):
             if is_hot:
-                key.append(np.full(len(i), k[0]))
+                key.append(np.full(len(i), -1 - k[0]))
                 owner.append(i)
                 hub.append(np.full(len(i), i[0]))
                 before.append(np.r_[i[0], i[:-1]])
@@ -312,7 +312,13 @@ def postings(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
             counts = np.diff(np.r_[first, len(k)])
             take, last = np.repeat(counts > 1, counts), np.r_[i[:1], i[:-1]]
             last[first] = i[first]
-            key.append(k[take])
+            # Keys with the same members are one group, named by the set of members; a key that
+            # was also sent in groups keeps its own name, which those share.
+            sums = np.add.reduceat(mix(i.view(np.uint64)), first) if len(first) else np.zeros(0, np.uint64)
+            name = (mix(sums + counts.astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
+            sent = np.array([x[0] for x in key], dtype=np.int64)
+            name = np.where(np.isin(-1 - k[first], sent), -1 - k[first], name)
+            key.append(np.repeat(name, counts)[take])
             owner.append(i[take])
             hub.append(np.repeat(i[first], counts)[take])
             before.append(last[take])
@@ -339,11 +345,11 @@ def _sets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "_id long, _set array<long>")
 
 
-def _could_link(percent: int) -> Column:
-    """Sizes and bitmaps of ``a`` and ``b`` do not rule out a link."""
+def _could_link(percent: int, words: int = WORDS // 4) -> Column:
+    """Sizes and bitmaps (of ``words`` longs) of ``a`` and ``b`` do not rule out a link."""
     small_, large = F.least("a._n", "b._n"), F.greatest("a._n", "b._n")
     differ = sum(
-        (F.bit_count(F.get("a._bits", F.lit(i)).bitwiseXOR(F.get("b._bits", F.lit(i)))) for i in range(WORDS // 4)),
+        (F.bit_count(F.get("a._bits", F.lit(i)).bitwiseXOR(F.get("b._bits", F.lit(i)))) for i in range(words)),
         F.lit(0),
     )
     return (100 * small_ >= percent * large) & ((100 + percent) * differ <= (100 - percent) * (F.col("a._n") + F.col("b._n")))
@@ -395,10 +401,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = usable.groupBy("_id").agg(F.when(one, F.first("_n")).alias("_n"), F.when(one, F.first("_bits")).alias("_bits"))
 
     texts = rows.where("_id IS NOT NULL")
-    members = keep(postings(texts, percent), "jaccard-members")
+    members = keep(
+        postings(texts, percent).groupBy("_key", "_id").agg(
+            F.min("_hub").alias("_hub"), F.min("_before").alias("_before"), F.count("*").alias("_keys")
+        ),
+        "jaccard-members",
+    )
     # First each document against the one hub it shares most keys with.
     stars = keep(
-        members.where("_id != _hub").groupBy(F.col("_id").alias("u"), F.col("_hub").alias("v")).agg(F.count("*").alias("n")),
+        members.where("_id != _hub").groupBy(F.col("_id").alias("u"), F.col("_hub").alias("v")).agg(F.sum("_keys").alias("n")),
         "jaccard-stars",
     )
     best = _plausible(stars, sizes, percent).groupBy("u").agg(F.max(F.struct("n", (-F.col("v")).alias("v"))).alias("m"))
@@ -415,14 +426,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = _labelled(open_.select("_key", F.col("_id").alias("u")).distinct(), labels, "u", "c")
     mixed = placed.groupBy("_key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high")
     left = placed.join(mixed.select("_key", "low"), "_key").join(sizes.withColumnRenamed("_id", "u"), "u")
-    left = keep(left.select("_key", "u", "c", "low", F.struct("_n", "_bits").alias("s")), "jaccard-left")
+    # Folded to a quarter by exclusive or, a parity bitmap still bounds the difference.
+    folded = F.array(*[
+        F.get("_bits", F.lit(i)).bitwiseXOR(F.get("_bits", F.lit(i + 4))).bitwiseXOR(F.get("_bits", F.lit(i + 8)))
+        .bitwiseXOR(F.get("_bits", F.lit(i + 12))) for i in range(4)
+    ])
+    left = keep(left.select("_key", "u", "c", "low", F.struct("_n", folded.alias("_bits")).alias("s")), "jaccard-left")
     minor = left.where("c != low").select("_key", F.col("u").alias("x"), F.col("c").alias("d"), F.col("s").alias("a"))
     major = left.select("_key", F.col("u").alias("y"), F.col("c").alias("e"), F.col("s").alias("b"))
     # Sizes and bitmaps are compared inside the join: of a group's pairs only those pass that
     # may be linked.
-    apart = (minor["_key"] == major["_key"]) & (F.col("d") != F.col("e")) & F.coalesce(_could_link(percent), F.lit(True))
+    apart = (minor["_key"] == major["_key"]) & (F.col("d") != F.col("e")) & F.coalesce(_could_link(percent, 4), F.lit(True))
     pairs = minor.join(major, apart).select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
-    more = verified(keep(pairs, "jaccard-pairs"), texts, percent)
+    more = verified(keep(_plausible(pairs, sizes, percent), "jaccard-pairs"), texts, percent)
     final = components(links.union(copies).union(more)).withColumnRenamed("vertex", "_id")
 
     out = stats.join(final, "_id", "left")

@@ -105,7 +105,7 @@ def word_vectors(sample: DataFrame, parts: int = 8) -> np.ndarray:
                             around[:-step] += vectors[step:]
                         np.add.at(sums, part, around)
         used = np.flatnonzero(np.abs(sums).sum(axis=1))
-        for some in np.array_split(used, max(1, len(used) // 4096)):
+        for some in np.array_split(used, len(used) // 4096 + 1) if len(used) else []:
             yield pd.DataFrame({"bucket": some, "vector": list(sums[some])})
 
     rows = sample.repartition(parts, "_id").select("_text").mapInPandas(gather, "bucket int, vector array<float>")
