@@ -1,20 +1,12 @@
 """Every registered query with SQL gives the same rows as DuckDB on the small tables."""
 
-import os
-
 import pytest
 
 from check_oracle import compare, connect
 from topicloom.catalog import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-# Iterative queries take long and have brute-force tests of their own; FULL=1 runs them too.
-SLOW = {
-    "g5_mst_weight", "g5_mst_edges", "g6_merge_sizes", "g9_density_cut", "a6_validity",
-    "g15_hierarchy", "g19_parent_labels", "j5_hierarchy_names", "u2_extend_names",
-    "j6_parent_inner", "g20_topic_paths", "w3_sample_subtopics", "a10_ancestors",
-}
-NAMES = [n for n in QUERIES if n in ORACLES and (os.environ.get("FULL") or n not in SLOW)]
+NAMES = [n for n in QUERIES if n in ORACLES]
 
 
 @pytest.fixture(scope="module")

@@ -125,8 +125,8 @@ def density_labels_epsilon(spark, folder):
 
 @query("g10_param_search")
 def parameter_search(spark, folder):
-    params = {"min_samples": [1], "min_cluster_size": [3, 5], "cluster_selection_epsilon": [0.0]}
-    return search.parameter_search(vectors(spark, folder), params, 2)
+    params = {"min_samples": [1, 2], "min_cluster_size": [3, 5], "cluster_selection_epsilon": [0.0, 1.0]}
+    return search.parameter_search(vectors(spark, folder), params, 4)
 
 
 _GRID = """grid AS (

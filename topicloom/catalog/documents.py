@@ -126,7 +126,7 @@ best AS (
     SELECT id, lang, score, row_number() OVER (PARTITION BY id ORDER BY score DESC, lang) AS r FROM scores) WHERE r = 1)"""
 
 
-@query("g16_language_id", f"WITH {_GRAMS} SELECT id, language, round(score, 3) AS score FROM best")
+@query("g16_language_id", f"WITH {_GRAMS} SELECT d.doc_id AS id, language, round(score, 3) AS score FROM documents d LEFT JOIN best b ON b.id = d.doc_id")
 def language_id(spark, folder):
     docs = table(spark, folder, "documents").withColumnRenamed("doc_id", "id")
     profiles = language.train_profiles(docs)

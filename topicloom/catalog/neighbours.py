@@ -1,5 +1,6 @@
 """Queries over vectors: dedupe, neighbour joins, outlier reassignment, layout."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from topicloom.catalog.registry import VECTORS, query, table, vectors
@@ -7,6 +8,7 @@ from topicloom.functions.vectors import cosine, squared_distance, xy
 from topicloom.operators import neighbours, outliers, views
 from topicloom.operators.dedupe import dedupe_map, undo_dedupe, unique_rows
 from topicloom.operators.fuzzy import fuzzy_graph, local_scales
+from topicloom.operators.topics import centroids
 from topicloom.plans.cluster import reduce_vectors
 from topicloom.workspace import keep
 
@@ -48,10 +50,28 @@ def knn_all_lists(spark, folder):
     return rounded(neighbours.knn_lists(rows, rows, 10, n_lists=16, n_probe=16))
 
 
-@query("j9_knn_ivf")
+_LISTS = VECTORS + """, means AS (
+  SELECT topic, list(m ORDER BY pos) AS c FROM (
+    SELECT topic, pos, avg(vec[pos]) AS m FROM (SELECT topic, vec, unnest(range(1, 65)) AS pos FROM emb) GROUP BY topic, pos)
+  GROUP BY topic),
+routes AS (SELECT e.id, m.topic AS cell, row_number() OVER (PARTITION BY e.id ORDER BY list_distance(e.vec, m.c), m.topic) AS r
+  FROM emb e, means m),
+near AS (
+  SELECT q.id AS src, t.id AS dst, power(list_distance(a.vec, b.vec), 2) AS dist
+  FROM routes q JOIN routes t ON t.cell = q.cell AND q.r <= 3 AND t.r = 1 JOIN emb a ON a.id = q.id JOIN emb b ON b.id = t.id),
+knn AS (SELECT src, dst, dist, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rank FROM near) WHERE rank <= 10)"""
+
+
+def topic_means(rows):
+    """One mean vector per topic (at most as many rows as topics), by topic."""
+    return np.array([r["centroid"] for r in centroids(rows, "vec").orderBy("topic").collect()])
+
+
+@query("j9_knn_ivf", f"WITH {_LISTS} SELECT src, dst, rank, round(dist, 6) + 0.0 AS dist FROM knn")
 def knn_ivf(spark, folder):
     rows = vectors(spark, folder)
-    return rounded(neighbours.knn_lists(rows, rows, 10, n_lists=20, n_probe=10))
+    return rounded(neighbours.knn_lists(rows, rows, 10, n_probe=3, centres=topic_means(rows)))
 
 
 @query("s12_knn_lists", f"""WITH {KNN} SELECT src AS id, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY rank) AS knn_ind,
@@ -181,7 +201,7 @@ def fuzzy(spark, folder):
 
 @query("g2_layout")
 def laid_out(spark, folder):
-    return reduce_vectors(vectors(spark, folder), n_epochs=5, vector_col="vec").select(
+    return reduce_vectors(vectors(spark, folder), vector_col="vec").select(
         "id", *xy(F.col("umap"))
     )
 

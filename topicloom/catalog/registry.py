@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.workspace import ship, spread
+from topicloom.operators.refine import fill_outliers
+from topicloom.workspace import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,16 +74,17 @@ VECTORS = """emb AS (
 
 
 def topical(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents that have a vector, with their topic: id, title, text, topic."""
+    """All documents with their topic: id, title, text, topic; without a vector an outlier."""
     docs = table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"), F.get(F.split("text", "\n", 2), F.lit(0)).alias("title"), "text"
     )
-    return spread(docs).join(vectors(spark, folder).select("id", "topic"), "id")
+    named = docs.join(vectors(spark, folder).select("id", "topic"), "id", "left")
+    return fill_outliers(named, "topic")
 
 
 TOPICAL = VECTORS + """, docs AS (
-  SELECT d.doc_id AS id, split_part(d.text, chr(10), 1) AS title, d.text, e.topic
-  FROM documents d JOIN emb e ON e.id = d.doc_id)"""
+  SELECT d.doc_id AS id, split_part(d.text, chr(10), 1) AS title, d.text, coalesce(e.topic, -1) AS topic
+  FROM documents d LEFT JOIN emb e ON e.id = d.doc_id)"""
 
 COUNTS = TOPICAL + f""", counts AS (
   SELECT topic, term, count(*) AS n FROM (

@@ -17,7 +17,7 @@ def strip(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of white-space separated words; null stays null."""
-    return F.regexp_count(text, F.lit(f"[^{_SPACE}]+"))
+    return F.size(F.array_remove(F.split(text, f"[{_SPACE}]+", -1), ""))
 
 
 def truncate(text: Column, limit: int) -> Column:

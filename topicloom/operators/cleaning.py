@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.functions.text import word_count
-from topicloom.workspace import spread
 
 
 def drop_blank(docs: DataFrame) -> DataFrame:
@@ -40,5 +39,11 @@ def long_enough(docs: DataFrame, min_words: int = 20) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, min_words: int = 20) -> DataFrame:
-    """All cleaning steps in order: one pass over the rows."""
-    return long_enough(with_text(with_length(drop_blank(spread(docs)))), min_words)
+    """All cleaning steps in order: one pass over the rows, without a shuffle.
+
+    The words are counted once: the count leaves an array only where it is large enough, so
+    that the optimizer cannot put a second copy of it into a filter.
+    """
+    words = word_count(F.col("abstract")) + word_count(F.col("title"))
+    enough = F.filter(F.array(words), lambda n: n >= min_words)
+    return with_text(drop_blank(docs).withColumn("length", F.explode(enough)))

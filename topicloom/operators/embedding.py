@@ -3,36 +3,48 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import md5
 
+import numpy as np
+import pandas as pd
+import regex
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topicloom.functions.text import tokens
+from topicloom.functions.text import TOKEN_PATTERN
 from topicloom.functions.vectors import normalise
-from topicloom.workspace import spread
 
 
-def hashed_embedding(docs: DataFrame, dim: int = 64, text_col: str = "abstract", id_col: str = "id") -> DataFrame:
-    """(id, embedding): unit vector of word counts in ``dim`` hash buckets.
+def hashed_vector(text: Column, dim: int = 64) -> Column:
+    """Unit vector of word counts in ``dim`` hash buckets; without a word, all zero.
 
-    All buckets are counted in one aggregation per document, so a partial row per
-    document is all that is shuffled, however long the text.
+    Row-local, in Arrow batches: no shuffle, however many buckets.
     """
-    rows = spread(docs.select(id_col, F.col(text_col).alias("text")))
-    words = rows.select(id_col, F.explode_outer(tokens(F.col("text"))).alias("term"))
-    bucket = F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("long") % dim
-    counted = words.withColumn("bucket", bucket).groupBy(id_col).agg(
-        *[
-            F.sum(F.when(F.col("bucket") == i, 1.0).otherwise(0.0)).alias(f"c{i}")
-            for i in range(dim)
-        ]
-    )
-    vector = F.array(*[f"c{i}" for i in range(dim)])
-    return counted.select(id_col, vector.alias("embedding")).withColumn(
-        "embedding", normalise(F.col("embedding"))
-    )
+    pattern = regex.compile(TOKEN_PATTERN)
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def embed(texts: pd.Series) -> pd.Series:
+        known: dict[str, int] = {}
+        out = []
+        for value in texts:
+            buckets = []
+            for term in pattern.findall((value or "").lower()):
+                bucket = known.get(term)
+                if bucket is None:
+                    bucket = known[term] = int(md5(term.encode()).hexdigest()[:8], 16) % dim
+                buckets.append(bucket)
+            counts = np.bincount(np.array(buckets, dtype=np.int64), minlength=dim).astype(float)
+            out.append(counts / max(np.sqrt((counts**2).sum()), 1e-12))
+        return pd.Series(out)
+
+    return embed(text)
+
+
+def hashed_embedding(docs: DataFrame, dim: int = 64, text_col: str = "abstract", id_col: str = "id") -> DataFrame:
+    """(id, embedding) of every row, see ``hashed_vector``."""
+    return docs.select(id_col, hashed_vector(F.col(text_col), dim).alias("embedding"))
 
 
 def embed_with_model(

@@ -1,17 +1,21 @@
 """Language identification from character trigram profiles.
 
 A profile holds the most frequent trigrams per language with the log of their share.
-The profile has a fixed number of rows per language, so it is broadcast behind a
-count; scoring a document needs no shuffle of its trigrams, only one of the partial
-sums per document and language.
+The profile has a fixed number of rows per language and is held in every task; scoring
+a document is local to its row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicloom.workspace import keep, small, spread
+from topicloom.workspace import keep
 
 # Added to the log share so that every listed trigram counts as evidence.
 FLOOR = 15.0
@@ -27,8 +31,8 @@ def trigrams(text):
 
 def train_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", top: int = 300) -> DataFrame:
     """(lang, gram, weight) for the ``top`` trigrams of each language."""
-    rows = spread(docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")))
-    counts = rows.select("lang", F.explode(trigrams(F.col("text"))).alias("gram")).groupBy("lang", "gram").agg(F.count("*").alias("n"))
+    grams = docs.select(F.col(lang_col).alias("lang"), F.explode(trigrams(F.col(text_col))).alias("gram"))
+    counts = grams.groupBy("lang", "gram").agg(F.count("*").alias("n"))
     counts = keep(counts, "trigrams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
@@ -39,27 +43,49 @@ def train_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     )
 
 
-def detect_language(docs: DataFrame, profiles: DataFrame, text_col: str = "text", id_col: str = "id") -> DataFrame:
-    """(id, language, score): the language with the largest summed weight.
+def detected(text: Column, profiles: DataFrame) -> Column:
+    """Struct of ``language`` and ``score``: the language with the largest summed weight.
 
-    Documents without any listed trigram do not appear.
+    Row-local, in Arrow batches; a tie goes to the first language by name.  A text without
+    any listed trigram has a null language.  The profiles have a fixed number of rows per
+    language, so they are held in every task.
     """
-    rows = spread(docs.select(id_col, F.col(text_col).alias("text")))
-    grams = rows.select(id_col, F.explode(trigrams(F.col("text"))).alias("gram"))
-    scores = (
-        grams.join(small(profiles), "gram")
-        .groupBy(id_col, "lang")
-        .agg(F.sum("weight").alias("score"))
-    )
-    best = F.min(F.struct((-F.col("score")).alias("s"), F.col("lang").alias("l")))
-    return scores.groupBy(id_col).agg(best.alias("b")).select(
-        id_col, F.col("b.l").alias("language"), (-F.col("b.s")).alias("score")
-    )
+    languages = sorted(r["lang"] for r in profiles.select("lang").distinct().collect())
+    table: dict[str, np.ndarray] = {}
+    for row in profiles.collect():
+        table.setdefault(row["gram"], np.zeros(len(languages)))[languages.index(row["lang"])] = row["weight"]
+    shared = profiles.sparkSession.sparkContext.broadcast(table)
+    other = regex.compile(r"[^\p{L}]+")
+
+    @F.pandas_udf("language string, score double")
+    def best(texts: pd.Series) -> pd.DataFrame:
+        weights, out = shared.value, []
+        for value in texts:
+            letters = f" {other.sub(' ', value or '').lower()} "
+            counts = Counter(map("".join, zip(letters, letters[1:], letters[2:])))
+            hits = [(weights[g], n) for g, n in counts.items() if g in weights]
+            if not hits:
+                out.append((None, None))
+                continue
+            # A weight of zero means the language does not list the trigram.
+            total = sum(w * n for w, n in hits)
+            listed = sum((w != 0) * n for w, n in hits) > 0
+            total = np.where(listed, total, -np.inf)
+            out.append((languages[int(total.argmax())], float(total.max())))
+        return pd.DataFrame(out, columns=["language", "score"])
+
+    return best(text)
+
+
+def detect_language(docs: DataFrame, profiles: DataFrame, text_col: str = "text", id_col: str = "id") -> DataFrame:
+    """(id, language, score) of every row, see ``detected``."""
+    found = docs.select(id_col, detected(F.col(text_col), profiles).alias("_found"))
+    return found.select(id_col, "_found.language", "_found.score")
 
 
 def language_filter(
     docs: DataFrame, profiles: DataFrame, language: str = "en", text_col: str = "abstract", id_col: str = "id"
 ) -> DataFrame:
-    """Documents in ``language``, with the ``language`` column added."""
-    found = detect_language(docs, profiles, text_col, id_col).where(F.col("language") == language)
-    return docs.join(found.select(id_col, "language"), id_col)
+    """Documents in ``language``, with the ``language`` column added; no shuffle."""
+    found = detected(F.col(text_col), profiles)["language"]
+    return docs.withColumn("language", found).where(F.col("language") == language)

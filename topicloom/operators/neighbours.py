@@ -234,13 +234,9 @@ def sample_centres(points: DataFrame, count: int) -> np.ndarray:
 
 
 def kmeans_centres(points: DataFrame, count: int, seed: int = 42) -> np.ndarray:
-    """k-means centres, trained on at most 256 points per centre (a hash sample)."""
-    total = points.count()
-    share = min(1.0, 256.0 * count / max(total, 1))
-    train = points.select(array_to_vector("vec").alias("features"), "id")
-    if share < 1.0:
-        train = train.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    model = KMeans(k=count, seed=seed, initMode="random", maxIter=10).fit(train.select("features"))
+    """k-means centres, trained on all points."""
+    train = points.select(array_to_vector("vec").alias("features"))
+    model = KMeans(k=count, seed=seed, initMode="random", maxIter=10).fit(train)
     return _check_centres(np.array(model.clusterCenters()))
 
 
@@ -360,23 +356,21 @@ def knn_lists(
     k: int = 10,
     id_col: str = "id",
     vector_col: str = "vec",
-    n_lists: int | None = 100,
+    n_lists: int = 100,
     n_probe: int = 10,
     max_dist: float | None = None,
     exclude_self: bool = False,
     block_rows: int = BLOCK_ROWS,
     seed: int = 42,
+    centres: np.ndarray | None = None,
 ) -> DataFrame:
     """Approximate neighbours: search only the ``n_probe`` lists nearest to the query.
 
-    ``n_lists=None`` grows the number of lists with the square root of the train
-    rows, which keeps the work per query near that root.  With ``n_probe`` equal
-    to ``n_lists`` the result is exact.
+    The lists belong to ``n_lists`` k-means centres of the train rows, or to the given
+    ``centres``.  With ``n_probe`` equal to the number of lists the result is exact.
     """
     q, t = _points(queries, id_col, vector_col), _points(train, id_col, vector_col)
-    if n_lists is None:
-        n_lists = int(max(100, min(MAX_CELLS, t.count() ** 0.5)))
-    centres = kmeans_centres(t, n_lists, seed)
+    centres = kmeans_centres(t, n_lists, seed) if centres is None else _check_centres(centres)
     celled = keep(to_nearest_cells(t, centres), "ivf-train")
     routed = keep(to_nearest_cells(q, centres, n_probe), "ivf-queries")
     return nearest(_search(routed, celled, k, max_dist, exclude_self, block_rows, True), k)

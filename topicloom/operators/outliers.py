@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from topicloom.functions.vectors import as_vector, normalise
 from topicloom.operators.dedupe import dedupe_map, undo_dedupe, unique_rows
-from topicloom.operators.neighbours import BLOCK_ROWS, knn_exact
+from topicloom.operators.neighbours import BLOCK_ROWS, knn_exact, knn_lists
 from topicloom.operators.topics import OUTLIER, centroids
 from topicloom.workspace import keep
 
@@ -31,9 +31,13 @@ def reassign_by_neighbours(
     topic_col: str = "topic",
     dedupe: DataFrame | None = None,
     block_rows: int = BLOCK_ROWS,
+    approximate: bool = False,
+    **list_options,
 ) -> DataFrame:
     """(id, topic): outliers take the majority topic of their near neighbours.
 
+    ``approximate`` searches inverted lists with ``list_options`` (n_lists, n_probe, centres).
+
     Only neighbours with squared distance <= 1 - threshold count; without any the
     document stays an outlier.  Copies of a vector all take the topic of the first.
     """
@@ -46,7 +50,8 @@ def reassign_by_neighbours(
     unique = keep(unique_rows(rows, dedupe), "unique")
     topics = unique.select("id", "topic")
     lost, settled = unique.where(F.col("topic") == OUTLIER), unique.where(F.col("topic") != OUTLIER)
-    edges = knn_exact(lost, settled, k, max_dist=1.0 - threshold, block_rows=block_rows)
+    find = knn_lists if approximate else knn_exact
+    edges = find(lost, settled, k, max_dist=1.0 - threshold, block_rows=block_rows, **list_options)
     votes = majority_topic(edges, topics).select(F.col("src").alias("id"), F.col("topic").alias("voted"))
     final = topics.join(votes, "id", "left").select("id", F.coalesce("voted", "topic").alias("topic"))
     return undo_dedupe(final, dedupe)
@@ -71,8 +76,10 @@ def reassign_by_centroid(
     means = centroids(settled, "vec").select(
         F.col("topic").cast("long").alias("id"), normalise(F.col("centroid")).alias("vec")
     )
-    lost = rows.where(F.col("topic") == OUTLIER).select("id", normalise(F.col("vec")).alias("vec"))
-    near = knn_exact(lost, keep(means, "centroids"), k=1, max_dist=2.0 - 2.0 * threshold)
+    # A zero vector has no direction: it is similar to nothing, and so is a zero mean.
+    some = F.exists("vec", lambda x: x != 0)
+    lost = rows.where((F.col("topic") == OUTLIER) & some).select("id", normalise(F.col("vec")).alias("vec"))
+    near = knn_exact(lost, keep(means.where(some), "centroids"), k=1, max_dist=2.0 - 2.0 * threshold)
     found = near.select(F.col("src").alias("id"), F.col("dst").cast("int").alias("found"))
     return rows.select("id", "topic").join(found, "id", "left").select(
         "id", F.coalesce("found", "topic").alias("topic")

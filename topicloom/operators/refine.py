@@ -34,8 +34,11 @@ def offset_topics(docs: DataFrame, topic_col: str = "topic", offset: int = 1000)
 def remap_clusters(
     docs: DataFrame, id_map: DataFrame, cluster_col: str = "cluster", id_col: str = "id", keep_unmapped: bool = False
 ) -> DataFrame:
-    """Replace clusters by an (id, cluster) map; unmapped ids become null or keep theirs."""
-    new = id_map.select(F.col("id").alias(id_col), F.col("cluster").alias("_new"))
+    """Replace clusters by an (id, cluster) map; unmapped ids become null or keep theirs.
+
+    Of several clusters for one id the largest counts.
+    """
+    new = id_map.groupBy(F.col("id").alias(id_col)).agg(F.max("cluster").alias("_new"))
     joined = docs.join(new, id_col, "left")
     value = F.coalesce("_new", cluster_col) if keep_unmapped else F.col("_new")
     return joined.withColumn(cluster_col, value).drop("_new")

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.ml.feature import StopWordsRemover
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicloom.functions.text import tokens
-from topicloom.workspace import global_index, keep, spread
+from topicloom.workspace import global_index, keep
 
 OUTLIER = -1
 
@@ -26,8 +28,7 @@ def term_counts(
     """
     if stop_words is None:
         stop_words = StopWordsRemover.loadDefaultStopWords("english")
-    rows = spread(docs.select(F.col(topic_col).alias("topic"), F.col(text_col).alias("text")))
-    terms = rows.select("topic", F.explode(tokens(F.col("text"))).alias("term"))
+    terms = docs.select(F.col(topic_col).alias("topic"), F.explode(tokens(F.col(text_col))).alias("term"))
     return (
         terms.where(~F.col("term").isin(list(stop_words)))
         .groupBy("topic", "term")
@@ -151,11 +152,12 @@ def fit_topics(
     """Documents with a ``topic`` column, the topic table and the term weights.
 
     ``reduce_fn`` and ``cluster_fn`` may compute vectors and clusters first; left
-    out, the clusters already in ``cluster_col`` are used.
+    out, the clusters already in ``cluster_col`` are used.  A missing cluster means outlier.
     """
     for step in (reduce_fn, cluster_fn):
         if step is not None:
             docs = step(docs)
+    docs = docs.withColumn(cluster_col, F.coalesce(cluster_col, F.lit(OUTLIER)))
     assigned = renumber(docs, cluster_col)
     info, weights = describe(assigned, "topic", text_col, **describe_options)
     return assigned, info, weights
@@ -163,9 +165,7 @@ def fit_topics(
 
 def centroids(docs: DataFrame, vector_col: str, topic_col: str = "topic") -> DataFrame:
     """(topic, centroid): mean vector of each topic, partial sums formed map-side."""
-    parts = docs.select(
-        F.col(topic_col).alias("topic"), F.posexplode(vector_col).alias("pos", "x")
+    rows = docs.where(F.col(vector_col).isNotNull()).select(
+        F.col(topic_col).alias("topic"), array_to_vector(vector_col).alias("v")
     )
-    means = parts.groupBy("topic", "pos").agg(F.avg("x").alias("x"))
-    listed = F.sort_array(F.collect_list(F.struct("pos", "x")))
-    return means.groupBy("topic").agg(listed["x"].alias("centroid"))
+    return rows.groupBy("topic").agg(vector_to_array(Summarizer.mean(F.col("v"))).alias("centroid"))

@@ -26,17 +26,27 @@ def reduce_vectors(
     knn: DataFrame | None = None,
     id_col: str = "id",
     vector_col: str = "embeddings",
+    copies: DataFrame | None = None,
+    save_knn: str | None = None,
+    **list_options,
 ) -> DataFrame:
-    """(id, umap): dedupe, neighbours (or a given table), fuzzy graph, layout, undo dedupe."""
+    """(id, umap): dedupe, neighbours (or a given table), fuzzy graph, layout, undo dedupe.
+
+    ``copies`` is a saved (id, rep_id) map to use instead of computing one; ``save_knn`` a
+    path to keep the neighbours at.  ``approximate`` searches inverted lists with
+    ``list_options`` (n_lists, n_probe, centres).
+    """
     rows = docs.select(docs[id_col].alias("id"), docs[vector_col].cast("array<double>").alias("vec"))
-    copies = None
-    if dedupe:
-        copies = keep(dedupe_map(rows, "vec"), "dedupe")
+    if copies is not None or dedupe:
+        copies = keep(dedupe_map(rows, "vec") if copies is None else copies, "dedupe")
         rows = unique_rows(rows, copies)
     rows = keep(rows, "reduce")
     if knn is None:
         find = knn_lists if approximate else knn_exact
-        knn = find(rows, rows, k=n_neighbors)
+        knn = find(rows, rows, k=n_neighbors, **list_options)
+    if save_knn is not None:
+        knn.write.parquet(save_knn)
+        knn = rows.sparkSession.read.parquet(save_knn)
     graph = keep(fuzzy_graph(knn, n_neighbors), "fuzzy")
     placed = layout(rows, graph, n_components, n_epochs, min_dist)
     return placed if copies is None else undo_dedupe(placed, copies)

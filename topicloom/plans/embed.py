@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from topicloom.operators.cleaning import clean_documents
-from topicloom.operators.embedding import embed_with_model, hashed_embedding
+from topicloom.operators.embedding import embed_with_model, hashed_vector
 from topicloom.operators.language import language_filter
 from topicloom.sources.documents import read_years, write_years
 
@@ -26,7 +27,7 @@ def embed_years(
     """Years [start, end) of ``source``, cleaned and embedded, to ``target``.
 
     With language ``profiles`` only English documents are kept; without a model the
-    hashed bag of words is used.
+    hashed bag of words is used.  One stage without an exchange.
     """
     docs = clean_documents(read_years(spark, source, start, end))
     if profiles is not None:
@@ -34,6 +35,5 @@ def embed_years(
     if make_predict_fn is not None:
         embedded = embed_with_model(docs, make_predict_fn, text_col)
     else:
-        vectors = hashed_embedding(docs, dim, text_col).withColumnRenamed("embedding", "embeddings")
-        embedded = docs.join(vectors, "id")
+        embedded = docs.withColumn("embeddings", hashed_vector(F.col(text_col), dim))
     write_years(embedded, target)

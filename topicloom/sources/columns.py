@@ -21,10 +21,11 @@ def append_column(
 ) -> DataFrame:
     """``table`` with ``column`` of ``values`` added by id under its parameter name.
 
-    Ids that ``values`` lacks get null, or ``na_value`` if one is given.
+    Ids that ``values`` lacks get null, or ``na_value`` if one is given.  An id that has
+    several values gets the largest.
     """
     name = column_name(column, **params)
-    added = values.select(F.col("id").alias(id_col), F.col(column).alias(name))
+    added = values.groupBy(F.col("id").alias(id_col)).agg(F.max(column).alias(name))
     out = table.drop(name).join(added, id_col, "left")
     return out if na_value is None else out.withColumn(name, F.coalesce(name, F.lit(na_value)))
 

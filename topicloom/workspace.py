@@ -77,19 +77,6 @@ def keep_all(**tables: DataFrame) -> list[DataFrame]:
         return [job.result() for job in jobs]
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Spread a small scan over all cores before work that is heavy per row.
-
-    A scan whose estimated size gives each core less than one full split is
-    repartitioned; a larger one already has enough splits and is left alone.
-    """
-    spark = rows.sparkSession
-    cores = parallelism(spark)
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return rows.repartition(cores) if size < cores * split else rows
-
-
 def drop_kept(*tables: DataFrame | None) -> None:
     """Delete the files behind tables written by ``keep`` that nothing reads any more."""
     for table in tables:
