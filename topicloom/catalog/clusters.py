@@ -66,8 +66,7 @@ def mst_edges(spark, folder):
     return spanning_tree(vectors(spark, folder), 1).select("lo", "hi", F.round("w", 6).alias("w"))
 
 
-@query("g6_merge_sizes", f"""WITH RECURSIVE {reach_sql(1)}, {PRIM},
-steps AS MATERIALIZED (SELECT lo, hi, w, row_number() OVER (ORDER BY w, lo, hi) AS e FROM tree),
+MERGES = """steps AS MATERIALIZED (SELECT lo, hi, w, row_number() OVER (ORDER BY w, lo, hi) AS e FROM tree),
 joined AS (
   SELECT id, id AS comp, CAST(0 AS BIGINT) AS e, CAST(0 AS BIGINT) AS c1, CAST(0 AS BIGINT) AS c2 FROM emb
   UNION ALL
@@ -77,9 +76,14 @@ joined AS (
   JOIN joined x ON x.id = s.lo
   JOIN joined y ON y.id = s.hi),
 before AS (SELECT e + 1 AS e, comp, count(*) AS n FROM joined GROUP BY e, comp),
-named AS (SELECT DISTINCT e, c1, c2 FROM joined WHERE e > 0)
-SELECT s.e - 1 AS e, round(s.w, 6) AS w, least(a.n, b.n) AS small, greatest(a.n, b.n) AS large
-FROM named k JOIN steps s ON s.e = k.e JOIN before a ON a.e = k.e AND a.comp = k.c1 JOIN before b ON b.e = k.e AND b.comp = k.c2""")
+named AS (SELECT DISTINCT e, c1, c2 FROM joined WHERE e > 0),
+merges AS MATERIALIZED (
+  SELECT s.e, s.w, 1 / greatest(s.w, 1e-12) AS lam, k.c1, k.c2, a.n AS n1, b.n AS n2
+  FROM named k JOIN steps s ON s.e = k.e JOIN before a ON a.e = k.e AND a.comp = k.c1 JOIN before b ON b.e = k.e AND b.comp = k.c2)"""
+
+
+@query("g6_merge_sizes", f"""WITH RECURSIVE {reach_sql(1)}, {PRIM}, {MERGES}
+SELECT e - 1 AS e, round(w, 6) AS w, least(n1, n2) AS small, greatest(n1, n2) AS large FROM merges""")
 def merge_sizes(spark, folder):
     from topicloom.operators import dendrogram
 
@@ -113,14 +117,64 @@ def validity(spark, folder):
     return metrics.select(F.round("validity", 6).alias("validity"), "topic_count", F.round("coverage", 6).alias("coverage"))
 
 
-@query("g7_hdbscan")
+def labels_sql(least: int, epsilon: float = 0.0, rows: str = "emb") -> str:
+    """Density labels in SQL, from the merges of ``g6_merge_sizes``.
+
+    A merge of two components of at least ``least`` points is a split: read downwards, two
+    clusters are born there.  Every point passes a chain of clusters, from the deepest to the
+    one below the root.
+    """
+    moved = f"""
+picked AS (SELECT DISTINCT e, comp FROM (
+  SELECT c.id, c.e, c.comp, row_number() OVER (PARTITION BY c.id ORDER BY c.e DESC) AS r
+  FROM chain c JOIN wins w ON w.e = c.e AND w.comp = c.comp) WHERE r = 1),
+chosen AS (SELECT DISTINCT
+    CASE WHEN 1 / p.birth < {epsilon} THEN coalesce(above.e, high.e, p.e) ELSE p.e END AS e,
+    CASE WHEN 1 / p.birth < {epsilon} THEN coalesce(above.comp, high.comp, p.comp) ELSE p.comp END AS comp
+  FROM (SELECT c.e, c.comp, c.birth, min(c.id) AS id FROM chain c JOIN picked k ON k.e = c.e AND k.comp = c.comp GROUP BY ALL) p
+  LEFT JOIN LATERAL (SELECT c.e, c.comp FROM chain c WHERE c.id = p.id AND c.e > p.e AND 1 / c.birth > {epsilon} ORDER BY c.e LIMIT 1) above ON true
+  LEFT JOIN LATERAL (SELECT c.e, c.comp FROM chain c WHERE c.id = p.id AND c.e > p.e ORDER BY c.e DESC LIMIT 1) high ON true),"""
+    return f"""{MERGES},
+inside AS (
+  SELECT j.id, m.e, j.comp, m.lam, least(m.n1, m.n2) >= {least} AS split, m.n1 + m.n2 AS size
+  FROM joined j JOIN merges m ON m.e = j.e + 1 AND j.comp IN (m.c1, m.c2)),
+entry AS (SELECT id, min(e) AS e0, arg_min(lam, e) AS lam0 FROM inside WHERE size >= {least} GROUP BY id),
+chain AS MATERIALIZED (
+  SELECT i.id, i.e, i.comp, i.lam AS birth, coalesce(lag(i.lam) OVER byid, t.lam0) AS leave,
+         lead(i.e) OVER byid AS up_e, lead(i.comp) OVER byid AS up_comp
+  FROM inside i JOIN entry t ON t.id = i.id WHERE i.split WINDOW byid AS (PARTITION BY i.id ORDER BY i.e)),
+clusters AS MATERIALIZED (
+  SELECT e, comp, sum(leave - birth) AS stab, min(up_e) AS up_e, min(up_comp) AS up_comp FROM chain GROUP BY e, comp),
+fold AS (
+  SELECT 0 AS k, c.*, CASE WHEN NOT EXISTS (SELECT 1 FROM clusters d WHERE d.up_e = c.e AND d.up_comp = c.comp) THEN stab END AS best
+  FROM clusters c
+  UNION ALL
+  SELECT f.k + 1, f.e, f.comp, f.stab, f.up_e, f.up_comp, coalesce(f.best, CASE WHEN d.n = 2 THEN greatest(f.stab, d.s) END)
+  FROM fold f LEFT JOIN (SELECT up_e, up_comp, count(best) AS n, sum(best) AS s FROM fold GROUP BY up_e, up_comp) d
+    ON d.up_e = f.e AND d.up_comp = f.comp
+  WHERE f.k < (SELECT count(*) FROM clusters)),
+mass AS (SELECT * FROM fold WHERE k = (SELECT count(*) FROM clusters)),
+wins AS (
+  SELECT e, comp FROM mass f LEFT JOIN (SELECT up_e AS e, up_comp AS comp, sum(best) AS s FROM mass GROUP BY ALL) d USING (e, comp)
+  WHERE d.s IS NULL OR f.stab >= d.s),{moved if epsilon > 0 else " chosen AS (SELECT e, comp FROM wins),"}
+tops AS (SELECT id, e, comp FROM (
+  SELECT c.id, c.e, c.comp, row_number() OVER (PARTITION BY c.id ORDER BY c.e DESC) AS r
+  FROM chain c JOIN chosen w ON w.e = c.e AND w.comp = c.comp) WHERE r = 1),
+ranks AS (
+  SELECT e, comp, row_number() OVER (ORDER BY count(*) DESC, min(id)) - 1 AS label FROM tops GROUP BY e, comp),
+labels AS (
+  SELECT p.id, CAST(coalesce(r.label, -1) AS INTEGER) AS label
+  FROM {rows} p LEFT JOIN tops t ON t.id = p.id LEFT JOIN ranks r ON r.e = t.e AND r.comp = t.comp)"""
+
+
+@query("g7_hdbscan", f"WITH RECURSIVE {reach_sql(1)}, {PRIM}, {labels_sql(4)} SELECT id, label FROM labels")
 def density_labels(spark, folder):
-    return hdbscan(vectors(spark, folder), min_cluster_size=5, min_samples=2)
+    return hdbscan(vectors(spark, folder), min_cluster_size=4, min_samples=1)
 
 
-@query("g8_hdbscan_epsilon")
+@query("g8_hdbscan_epsilon", f"WITH RECURSIVE {reach_sql(1)}, {PRIM}, {labels_sql(3, 0.99)} SELECT id, label FROM labels")
 def density_labels_epsilon(spark, folder):
-    return hdbscan(vectors(spark, folder), 3, 1, cluster_selection_epsilon=1.0)
+    return hdbscan(vectors(spark, folder), 3, 1, cluster_selection_epsilon=0.99)
 
 
 @query("g10_param_search")
