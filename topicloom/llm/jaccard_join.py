@@ -42,7 +42,7 @@ FLUSH = 1_000_000  # keys a task holds before it sends them off
 WEAK_PRICE = 8.0
 KEY_BYTES = 5  # of a key within its bucket; a chance collision is only one more candidate
 HOT = 64  # documents of one flush with the same key from which they are sent as a group
-WORDS = 64  # bitmap of 64 * WORDS / 4 bits, kept per document
+LEAST_BITS = 1024  # of the bitmap kept per document
 _M1, _M2, _P = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -180,9 +180,14 @@ def keys_of(hashes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def _bitmap(hashes: np.ndarray) -> np.ndarray:
-    """Parity bitmap: bits that differ between two sets cannot outnumber their difference."""
-    bits = np.bincount((hashes & np.uint64(16 * WORDS - 1)).astype(np.int64), minlength=16 * WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+    """Parity bitmap: bits that differ between two sets cannot outnumber their difference.
+
+    It has at least as many bits as the set has elements, a power of two; the longer of two
+    bitmaps folds onto the shorter by exclusive or.
+    """
+    bits = max(LEAST_BITS, 1 << (len(hashes) - 1).bit_length() if len(hashes) else 0)
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def signatures(rows: DataFrame) -> DataFrame:
@@ -193,8 +198,9 @@ def signatures(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for start, length in slices(batch.column(1)):
                 sets = [shingles(t) for t in batch.column(1).slice(start, length).to_pylist()]
-                bits = np.concatenate([_bitmap(s) for s in sets])
-                offsets = np.arange(len(sets) + 1, dtype=np.int32) * (WORDS // 4)
+                maps = [_bitmap(s) for s in sets]
+                bits = np.concatenate(maps)
+                offsets = np.concatenate([[0], np.cumsum([len(m) for m in maps])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, length),
@@ -345,14 +351,30 @@ def _sets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "_id long, _set array<long>")
 
 
-def _could_link(percent: int, words: int = WORDS // 4) -> Column:
-    """Sizes and bitmaps (of ``words`` longs) of ``a`` and ``b`` do not rule out a link."""
-    small_, large = F.least("a._n", "b._n"), F.greatest("a._n", "b._n")
-    differ = sum(
-        (F.bit_count(F.get("a._bits", F.lit(i)).bitwiseXOR(F.get("b._bits", F.lit(i)))) for i in range(words)),
-        F.lit(0),
+def _folded(bits: Column, longs: Column) -> Column:
+    """A bitmap folded to a number of longs that divides its own."""
+    return F.transform(
+        F.sequence(F.lit(0), longs - 1),
+        lambda i: F.aggregate(
+            F.sequence(i, F.size(bits) - 1, longs), F.lit(0).cast("long"), lambda x, j: x.bitwiseXOR(F.get(bits, j))
+        ),
     )
-    return (100 * small_ >= percent * large) & ((100 + percent) * differ <= (100 - percent) * (F.col("a._n") + F.col("b._n")))
+
+
+def _could_link(percent: int, longs: int | None = None) -> Column:
+    """Sizes and bitmaps of ``a`` and ``b`` (of ``longs`` longs, if equal) do not rule out a link."""
+    small_, large = F.least("a._n", "b._n"), F.greatest("a._n", "b._n")
+    sized = 100 * small_ >= percent * large
+    if longs is not None:
+        parts = [F.bit_count(F.get("a._bits", F.lit(i)).bitwiseXOR(F.get("b._bits", F.lit(i)))) for i in range(longs)]
+        differ = sum(parts, F.lit(0))
+    else:
+        common = F.least(F.size("a._bits"), F.size("b._bits"))
+        pairs = F.zip_with(
+            _folded(F.col("a._bits"), common), _folded(F.col("b._bits"), common), lambda x, y: F.bit_count(x.bitwiseXOR(y))
+        )
+        differ = F.aggregate(pairs, F.lit(0), lambda x, y: x + y)
+    return sized & ((100 + percent) * differ <= (100 - percent) * (F.col("a._n") + F.col("b._n")))
 
 
 def _plausible(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
@@ -426,11 +448,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = _labelled(open_.select("_key", F.col("_id").alias("u")).distinct(), labels, "u", "c")
     mixed = placed.groupBy("_key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high")
     left = placed.join(mixed.select("_key", "low"), "_key").join(sizes.withColumnRenamed("_id", "u"), "u")
-    # Folded to a quarter by exclusive or, a parity bitmap still bounds the difference.
-    folded = F.array(*[
-        F.get("_bits", F.lit(i)).bitwiseXOR(F.get("_bits", F.lit(i + 4))).bitwiseXOR(F.get("_bits", F.lit(i + 8)))
-        .bitwiseXOR(F.get("_bits", F.lit(i + 12))) for i in range(4)
-    ])
+    folded = _folded(F.col("_bits"), F.lit(4))
     left = keep(left.select("_key", "u", "c", "low", F.struct("_n", folded.alias("_bits")).alias("s")), "jaccard-left")
     minor = left.where("c != low").select("_key", F.col("u").alias("x"), F.col("c").alias("d"), F.col("s").alias("a"))
     major = left.select("_key", F.col("u").alias("y"), F.col("c").alias("e"), F.col("s").alias("b"))

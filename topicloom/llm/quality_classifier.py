@@ -30,6 +30,7 @@ NONZERO = 4
 WINDOW = 2
 HIDDEN = 32
 EPOCHS = 30
+STEPS = 3_000  # gradient steps at least, for small samples
 SAMPLE = 12_000
 CHUNK = 50_000
 # The shape of a word that repeats the one before it.
@@ -149,7 +150,7 @@ class Network:
         w = [rng.normal(0, n**-0.5, (n, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, HIDDEN**-0.5, (HIDDEN, 1)), 0.0]
         first, second, step = [0.0] * 4, [0.0] * 4, 0
         train, target = x[~aside], y[~aside]
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, STEPS // (len(target) // 128 + 1))):
             order = rng.permutation(len(target))
             for start in range(0, len(order), 128):
                 rows = order[start : start + 128]
