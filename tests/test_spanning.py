@@ -71,3 +71,30 @@ def test_density_cut(spark):
     )
     got = {r.id: r.label for r in density_cut(points, tree, 1.0, 3).collect()}
     assert got == {0: 0, 1: 0, 2: 0, 3: -1, 4: -1, 5: -1}
+
+
+def test_copies_hold_one_tile_of_memory():
+    """All edges between copies tie; they must not pile up over the tiles of a block pair."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from topicloom.operators.spanning import _lightest_between
+
+    n = 3000
+    rows = pa.table(
+        {
+            "id": np.arange(n),
+            "vec": pa.array([[1.0, 2.0]] * n),
+            "core": np.zeros(n),
+            "comp": np.arange(n),
+        }
+    )
+    tracemalloc.start()
+    found = _lightest_between(rows, rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250e6
+    got = {r["v"]: (r["w"], r["lo"], r["hi"]) for r in found.to_pylist()}
+    assert got[0] == (0.0, 0, 1) and got[7] == (0.0, 0, 7) and len(got) == n

@@ -331,10 +331,23 @@ def _lightest_between(a: pa.Table, b: pa.Table) -> pa.Table:
     q_core, t_core = a["core"].to_numpy(), b["core"].to_numpy()
     q_comp, t_comp = a["comp"].to_numpy(), b["comp"].to_numpy()
     names, group = np.unique(q_comp, return_inverse=True)
-    # First pass: smallest squared weight per component, up to rounding.
+    def first(rows: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of candidate pairs, the first in the exact (w, lo, hi) order per component."""
+        w = np.sqrt(exact_pairs(q, t, rows, cols))
+        w = np.maximum(np.maximum(w, q_core[rows]), t_core[cols])
+        lo = np.minimum(q_id[rows], t_id[cols])
+        hi = np.maximum(q_id[rows], t_id[cols])
+        ranked = np.lexsort((hi, lo, w, group[rows])) if lo.dtype != object else np.array(
+            sorted(range(len(rows)), key=lambda i: (group[rows[i]], w[i], lo[i], hi[i])), dtype=int
+        )
+        head = ranked[np.r_[True, np.diff(group[rows[ranked]]) != 0]] if len(ranked) else ranked
+        return rows[head], cols[head], w[head]
+
+    # Tile by tile: candidates up to rounding by squared weight, reduced to one per component
+    # before the next tile, so that copies (whose edges all tie) hold no more than a tile.
     lowest = np.full(len(names), np.inf)
     step = max(1, (1 << 21) // len(t))
-    rough = []
+    found = []
     for s in range(0, len(q), step):
         w2 = np.maximum(squared(q[s:s + step], t), (t_core * t_core)[None, :])
         np.maximum(w2, (q_core[s:s + step] ** 2)[:, None], out=w2)
@@ -342,29 +355,19 @@ def _lightest_between(a: pa.Table, b: pa.Table) -> pa.Table:
         np.minimum.at(lowest, group[s:s + step], w2.min(1))
         limit = lowest[group[s:s + step]]
         r, c = np.nonzero(np.isfinite(w2) & (w2 <= (limit + 1e-9 * (1 + limit))[:, None]))
-        rough.append((r + s, c, w2[r, c]))
-    rows = np.concatenate([x[0] for x in rough])
-    cols = np.concatenate([x[1] for x in rough])
-    seen = np.concatenate([x[2] for x in rough])
-    limit = lowest[group[rows]]
-    near = seen <= limit + 1e-9 * (1 + limit)
-    rows, cols = rows[near], cols[near]
-    # Second pass: exact weights and the (w, lo, hi) order among the candidates.
-    w = np.sqrt(exact_pairs(q, t, rows, cols))
-    w = np.maximum(np.maximum(w, q_core[rows]), t_core[cols])
-    lo = np.minimum(q_id[rows], t_id[cols])
-    hi = np.maximum(q_id[rows], t_id[cols])
-    ranked = np.lexsort((hi, lo, w, group[rows])) if lo.dtype != object else np.array(
-        sorted(range(len(rows)), key=lambda i: (group[rows[i]], w[i], lo[i], hi[i])), dtype=int
-    )
-    head = ranked[np.r_[True, np.diff(group[rows[ranked]]) != 0]] if len(ranked) else ranked
+        # 50,000 candidates at a time, as each takes two whole vectors.
+        for part in range(0, len(r), 50_000):
+            found.append(first(r[part : part + 50_000] + s, c[part : part + 50_000])[:2])
+    rows = np.concatenate([x[0] for x in found]) if found else np.array([], dtype=int)
+    cols = np.concatenate([x[1] for x in found]) if found else np.array([], dtype=int)
+    rows, cols, w = first(rows, cols)
     return pa.table(
         {
-            "v": q_comp[rows[head]],
-            "w": w[head],
-            "lo": lo[head],
-            "hi": hi[head],
-            "other": t_comp[cols[head]],
+            "v": q_comp[rows],
+            "w": w,
+            "lo": np.minimum(q_id[rows], t_id[cols]),
+            "hi": np.maximum(q_id[rows], t_id[cols]),
+            "other": t_comp[cols],
         }
     )
 
