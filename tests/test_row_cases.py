@@ -2,15 +2,19 @@
 
 from pyspark.sql import functions as F
 
+from topicloom.functions.prompts import TOPIC_EXAMPLE_TEMPLATE
 from topicloom.operators.cleaning import clean_documents
+from topicloom.operators.dedupe import dedupe_map
 from topicloom.operators.embedding import hashed_embedding
+from topicloom.operators.labels import topic_prompts
 from topicloom.operators.language import detect_language, language_filter, train_profiles
 from topicloom.operators.outliers import reassign_by_centroid
 from topicloom.operators.refine import remap_clusters
 from topicloom.operators.topics import fit_topics
+from topicloom.plans.cluster import reduce_vectors
 from topicloom.plans.embed import embed_years
 from topicloom.sources.columns import append_column
-from topicloom.sources.documents import write_years
+from topicloom.sources.documents import read_years, write_years
 
 
 def test_repeated_ids_do_not_multiply_rows(spark):
@@ -72,3 +76,30 @@ def test_embed_years_over_year_folders(spark, tmp_path):
     out = spark.read.parquet(target)
     assert {r["year"] for r in out.select("year").distinct().collect()} == {2001, 2002}
     assert out.count() == 30 and out.where("size(embeddings) = 8").count() == 30
+
+
+def test_bare_year_folders(spark, tmp_path):
+    docs = _raw(spark)
+    for year in (2000, 2002):
+        docs.where(F.col("year") == year).drop("year").write.parquet(f"{tmp_path}/{year}")
+    got = read_years(spark, str(tmp_path), 2001, 2004, bare=True)
+    assert {r["year"] for r in got.select("year").distinct().collect()} == {2002} and got.count() == 15
+
+
+def test_topics_without_titles_and_own_templates(spark):
+    info = spark.createDataFrame([(0, ["cat", "dog"]), (1, ["sun"])], "topic int, representation array<string>")
+    samples = spark.createDataFrame([(0, ["A title"])], "topic int, titles_sample array<string>")
+    rows = {r["topic"]: r["prompt"] for r in topic_prompts(info, samples, "K {keywords} T {titles}").collect()}
+    assert rows == {0: "K cat, dog T - A title", 1: "K sun T "}
+    shown = topic_prompts(info, samples, TOPIC_EXAMPLE_TEMPLATE).where("topic = 0").first()["prompt"]
+    assert shown.count("Topic:") == 2 and shown.endswith("Topic:")
+
+
+def test_saved_copies_and_neighbours(spark, tmp_path):
+    rows = [(i, [float(i % 5), float(i % 3), 1.0]) for i in range(40)]
+    docs = spark.createDataFrame(rows, "id long, embeddings array<double>")
+    copies = dedupe_map(docs.withColumnRenamed("embeddings", "vec"), "vec")
+    path = f"{tmp_path}/knn"
+    placed = reduce_vectors(docs, n_neighbors=4, n_epochs=1, copies=copies, save_knn=path)
+    assert placed.count() == 40
+    assert spark.read.parquet(path).select("src").distinct().count() == copies.select("rep_id").distinct().count()

@@ -21,6 +21,15 @@ Subtopics:
 {subtopics}
 Topic:"""
 
+# The topic template after a worked example, for models that keep to a shown form.
+TOPIC_EXAMPLE_TEMPLATE = """Keywords: glacier, snow, melt, basin, runoff
+Documents:
+- Seasonal snow storage in a high valley
+- A gauge record of glacier fed streams
+Topic: Snow and glacier hydrology
+
+""" + TOPIC_TEMPLATE
+
 RETRY_TEMPLATE = """{prompt}
 
 This answer is too long: {response}

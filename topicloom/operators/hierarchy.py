@@ -225,8 +225,18 @@ def extend_names(names: DataFrame, added: DataFrame) -> DataFrame:
     return names.join(added.select("topic_id"), "topic_id", "left_anti").unionByName(added)
 
 
-def parent_prompts(hierarchy: DataFrame, names: DataFrame, max_topics: int = 100, seed: int = 123) -> DataFrame:
-    """(Parent_ID, prompt) listing up to ``max_topics`` subtopic names of each node."""
+def parent_prompts(
+    hierarchy: DataFrame,
+    names: DataFrame,
+    max_topics: int = 100,
+    seed: int = 123,
+    template: str = PARENT_TEMPLATE,
+) -> DataFrame:
+    """(Parent_ID, prompt) listing up to ``max_topics`` subtopic names of each node.
+
+    ``template`` has the place ``{subtopics}``.  A node none of whose topics has a name keeps
+    an empty list.
+    """
     parts = hierarchy.select("Parent_ID", F.explode("Topics").alias("topic")).withColumn(
         "topic_id", F.col("topic").cast("string")
     )
@@ -236,18 +246,19 @@ def parent_prompts(hierarchy: DataFrame, names: DataFrame, max_topics: int = 100
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") <= max_topics)
     )
-    named = picked.join(names, "topic_id")
-    listed = F.sort_array(F.collect_list(F.struct("topic", "name")))
+    named = picked.join(names, "topic_id", "left")
+    listed = F.sort_array(F.collect_list(F.when(F.col("name").isNotNull(), F.struct("topic", "name"))))
     return named.groupBy("Parent_ID").agg(listed["name"].alias("names")).select(
-        "Parent_ID", fill(PARENT_TEMPLATE, subtopics=bullets(F.col("names"))).alias("prompt")
+        "Parent_ID", fill(template, subtopics=bullets(F.col("names"))).alias("prompt")
     )
 
 
 def label_parents(
-    hierarchy: DataFrame, names: DataFrame, label_fn: LabelFn = first_keywords, max_topics: int = 100, **options
+    hierarchy: DataFrame, names: DataFrame, label_fn: LabelFn = first_keywords, max_topics: int = 100,
+    template: str = PARENT_TEMPLATE, **options
 ) -> DataFrame:
     """Hierarchy with labelled parents and resolved child names."""
-    answers = run_labels(parent_prompts(hierarchy, names, max_topics), label_fn, **options)
+    answers = run_labels(parent_prompts(hierarchy, names, max_topics, template=template), label_fn, **options)
     labels = answers.select("Parent_ID", clean_label(F.col("answer")).alias("Parent_Name"))
     return attach_names(hierarchy.drop("Parent_Name").join(labels, "Parent_ID"), names)
 

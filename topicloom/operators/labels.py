@@ -35,12 +35,17 @@ def sample_titles(titled: DataFrame, n: int = 30, seed: int = 123, id_col: str =
     return picked.groupBy("topic").agg(listed["title"].alias("titles_sample"))
 
 
-def topic_prompts(info: DataFrame, samples: DataFrame) -> DataFrame:
-    """Topic table with sampled titles and the filled prompt."""
-    return info.join(samples, "topic").withColumn(
+def topic_prompts(info: DataFrame, samples: DataFrame, template: str = TOPIC_TEMPLATE) -> DataFrame:
+    """Topic table with sampled titles and the filled prompt.
+
+    ``template`` has the places ``{keywords}`` and ``{titles}``.  A topic without titled
+    documents has an empty sample.
+    """
+    sample = F.coalesce("titles_sample", F.array().cast("array<string>"))
+    return info.join(samples, "topic", "left").withColumn("titles_sample", sample).withColumn(
         "prompt",
         fill(
-            TOPIC_TEMPLATE,
+            template,
             keywords=F.array_join("representation", ", "),
             titles=bullets(F.col("titles_sample"), 200),
         ),
@@ -88,10 +93,11 @@ def label_topics(
     label_fn: LabelFn = first_keywords,
     n_titles: int = 30,
     random_state: int = 123,
+    template: str = TOPIC_TEMPLATE,
     **options,
 ) -> DataFrame:
     """Topic table with ``titles_sample`` and the cleaned label ``llm_topic``."""
-    prompts = topic_prompts(info, sample_titles(titled, n_titles, random_state))
+    prompts = topic_prompts(info, sample_titles(titled, n_titles, random_state), template)
     answered = run_labels(prompts, label_fn, **options)
     return answered.withColumn("llm_topic", clean_label(F.col("answer"))).select(
         *info.columns, "titles_sample", "llm_topic"

@@ -61,9 +61,19 @@ def year_range(table: DataFrame, start: int, end: int) -> DataFrame:
     return table.where((F.col("year") >= start) & (F.col("year") < end))
 
 
-def read_years(spark: SparkSession, root: str, start: int, end: int) -> DataFrame:
-    """Year range of a table with one ``year=`` folder per year."""
-    return year_range(spark.read.parquet(root), start, end)
+def read_years(spark: SparkSession, root: str, start: int, end: int, bare: bool = False) -> DataFrame:
+    """Year range of a table with one ``year=`` folder per year, or one ``2001``-like if ``bare``.
+
+    Bare folders are named in one path pattern, which skips years that are missing; the year
+    column comes from the file's path.  Without any folder in the range it fails like a
+    missing table.
+    """
+    if not bare:
+        return year_range(spark.read.parquet(root), start, end)
+    years = ",".join(str(year) for year in range(start, end))
+    rows = spark.read.parquet(f"{root}/{{{years}}}")
+    year = F.regexp_extract("_metadata.file_path", r"/([0-9]{4})/[^/]+$", 1).cast("int")
+    return rows.select("*", year.alias("year"))
 
 
 def write_years(docs: DataFrame, path: str) -> None:
