@@ -458,6 +458,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = minor.join(major, apart).select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
     more = verified(keep(_plausible(pairs, sizes, percent), "jaccard-pairs"), texts, percent)
     final = components(links.union(copies).union(more)).withColumnRenamed("vertex", "_id")
+    # The components are written: nothing reads these tables any more.
+    drop_kept(members, stars, open_, left, copies, labels)
 
     out = stats.join(final, "_id", "left")
     return out.select(

@@ -2,9 +2,9 @@
 
 The features of a text are densities (per word) of a lexicon given by hand and of one learned
 from labelled texts, the nearness of lexicon words to second-person words, and the rates of
-capitals, punctuation and obfuscated spellings.  Lexicon, trees and calibration are fitted on
-three different parts of at most ``sample`` labelled documents, trees and calibration in numpy
-on the driver; documents are scored in Arrow batches, whole texts.
+capitals, punctuation and obfuscated spellings.  The lexicon comes from one part
+of at most ``sample`` labelled documents, trees and calibration from another, in numpy on the
+driver; documents are scored in Arrow batches, whole texts.
 """
 
 from __future__ import annotations
@@ -160,7 +160,7 @@ class Trees:
             here = np.flatnonzero(at == node)
             g, h = grad[here].sum(), hess[here].sum()
             value[node] = RATE * g / (h + 1.0)
-            if node >= nodes // 2 or len(here) < 20:
+            if node >= nodes // 2 or len(here) < 8:
                 continue
             best = 1e-6
             for f in range(bins.shape[1]):
@@ -168,7 +168,7 @@ class Trees:
                 gs = np.cumsum(np.bincount(b, grad[here], BINS + 2))
                 hs = np.cumsum(np.bincount(b, hess[here], BINS + 2))
                 gain = gs**2 / (hs + 1.0) + (g - gs) ** 2 / (h - hs + 1.0) - g**2 / (h + 1.0)
-                gain[(hs < 1.0) | (h - hs < 1.0)] = 0
+                gain[(hs < 0.2) | (h - hs < 0.2)] = 0
                 if gain.max() > best:
                     best, feature[node], cut[node] = gain.max(), f, int(gain.argmax())
             if best > 1e-6:
@@ -228,7 +228,10 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, parts: int = 3, held_out: int = 1,
         label_col: str = "toxic") -> Model:
-    """Lexicon from one half of the sample, trees from most of the other, calibration from the rest."""
+    """Lexicon from two fifths of the sample, trees and calibration from the rest.
+
+    The calibration sees scores of trees that were fitted without the row (three folds).
+    """
     chosen = labelled_sample(docs, labels, label_col, sample, parts, held_out)
     part = F.pmod(F.xxhash64("_id", F.lit("part")), F.lit(10))
     lexicon = learn_lexicon(chosen.where(part < 4))
@@ -236,17 +239,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, parts: int = 3
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = Features(lexicon)
         for batch in batches:
-            out = batch[["_y", "_part"]].assign(_id=batch["_id"].astype(str), x=[of(t) for t in batch["_text"]])
-            yield out[["_id", "_y", "_part", "x"]]
+            out = batch[["_y"]].assign(_id=batch["_id"].astype(str), x=[of(t) for t in batch["_text"]])
+            yield out[["_id", "_y", "x"]]
 
-    rest = chosen.withColumn("_part", part).where("_part >= 4")
     # At most ``sample`` rows of fixed width, in a fixed order.
-    rows = rest.mapInPandas(features, "_id string, _y double, _part long, x array<double>").toPandas()
+    rows = chosen.where(part >= 4).mapInPandas(features, "_id string, _y double, x array<double>").toPandas()
     rows = rows.sort_values("_id")
     x = np.array(rows["x"].tolist()).reshape(len(rows), len(Features.NAMES))
-    y, last = rows["_y"].to_numpy(dtype=float), (rows["_part"] >= 8).to_numpy()
-    trees = Trees().fit(x[~last], y[~last])
-    return Model(lexicon, trees, Isotonic().fit(trees.raw(x[last]), y[last]))
+    y = rows["_y"].to_numpy(dtype=float)
+    fold_of, raw = np.arange(len(y)) % 3, np.zeros(len(y))
+    for number in range(3):
+        out = fold_of == number
+        raw[out] = Trees().fit(x[~out], y[~out]).raw(x[out])
+    return Model(lexicon, Trees().fit(x, y), Isotonic().fit(raw, y))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
