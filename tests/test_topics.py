@@ -125,7 +125,7 @@ def test_language(spark):
     rows = [(1, "en", "the cat and the hat are in the house"), (2, "de", "der hund und die katze sind in dem haus"), (3, "xx", "123")]
     docs = spark.createDataFrame(rows, "id long, lang string, text string")
     found = detect_language(docs, train_profiles(docs.where("id < 3")))
-    assert {r.id: r.language for r in found.collect()} == {1: "en", 2: "de"}
+    assert {r.id: r.language for r in found.collect()} == {1: "en", 2: "de", 3: None}
 
 
 def test_embeddings_are_unit(spark):
