@@ -70,3 +70,34 @@ def test_license_rules(spark, text, want):
 def test_license_edges(edge_docs, no_docs):
     assert licenses.scan(edge_docs).where("size(licenses) = 0").count() == edge_docs.count()
     assert licenses.scan(no_docs).count() == 0
+
+
+EXAMPLES = {
+    "SpdxMit": "SPDX-License-Identifier: MIT", "SpdxApache2": "SPDX-License-Identifier: Apache-2.0",
+    "SpdxBsd3": "SPDX-License-Identifier: BSD-3-Clause", "SpdxBsd2": "SPDX-License-Identifier: BSD-2-Clause",
+    "SpdxGpl3": "SPDX-License-Identifier: GPL-3.0", "SpdxGpl2": "SPDX-License-Identifier: GPL-2.0",
+    "SpdxMpl2": "SPDX-License-Identifier: MPL-2.0", "SpdxOther": "SPDX-License-Identifier: Zlib",
+    "MitGrant": "Permission is hereby granted, free of charge, to any person obtaining a copy",
+    "MitNotice": "The above copyright notice and this permission notice shall be included",
+    "IscGrant": "Permission to use, copy, modify, and/or distribute this software for any purpose",
+    "AsIs": "The software is\nprovided \"as\nis\"", "NoLiability": "In no event shall the authors be liable",
+    "BsdGrant": "Redistribution and use in source and binary forms", "BsdSource": "Redistributions of source code must retain it",
+    "BsdBinary": "Redistributions in binary form must reproduce it",
+    "BsdEndorse": "Neither the name of X may be used to endorse or promote it", "ApacheGrant": "Licensed under the Apache License",
+    "ApacheRefuse": "You may not use this file except in compliance with the License", "ApacheObtain": "You may obtain a copy of the License at x",
+    "ApacheDisclaim": "Unless required by applicable law or agreed to in writing", "ApacheRef": "the Apache Software License",
+    "AgplRef": "AGPL", "LgplRef": "LGPL-2.1", "GplLater": "General Public License, version 2, or any later version",
+    "Gpl3Ref": "GPLv3", "Gpl2Ref": "gpl-2", "GplRef": "distributed under the GPL", "MplRef": "Mozilla Public License",
+    "GplHope": "in the hope that it will be useful, but without any warranty", "EplRef": "Eclipse Public License",
+    "Cc0Ref": "Creative\nCommons Zero", "CcByNcNd": "CC-BY-NC-ND 4.0", "CcByNcSa": "CC-BY-NC-SA", "CcByNc": "CC-BY-NC",
+    "CcByNd": "CC-BY-ND", "CcBySa": "CC-BY-SA 4.0", "CcBy": "CC-BY", "MitRef": "under the MIT license", "BsdRef": "under the BSD license",
+    "IscRef": "the ISC license", "UnlicenseRef": "free and unencumbered software released into the public domain",
+    "PublicDomain": "in the public\n domain", "AllRights": "All rights\n reserved", "Copyright": "Copyright (c) 2020 X",
+}
+
+
+def test_every_sentence_passes_the_gate(spark):
+    assert list(EXAMPLES) and set(EXAMPLES) == {name for name, _ in licenses.SENTENCES}
+    docs = spark.createDataFrame([(f"Text. {text}. More.", name) for name, text in EXAMPLES.items()], "text string, doc_id string")
+    got = {r["doc_id"]: r["sentences"] for r in licenses.scan(docs).collect()}
+    assert got == {name: [name] for name in EXAMPLES}

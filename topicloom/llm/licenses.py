@@ -14,11 +14,18 @@ from pyspark.sql import functions as F
 
 from topicloom.llm.text import inputs, let
 
-# Words without which no sentence below can match.
+# Gate of the SQL counterpart, left as it is: narrower than the sentences below.
 VOCABULARY = (
     "licen[sc]e|copyright|permission|redistribut|warrant|spdx|public domain|creative commons|"
     "cc[- ]by|cc0|as is|liable|copyleft|merchantab|endorse"
 )
+# Gate of the scan, over raw text: each pattern of SENTENCES needs one of these words.  A space of
+# the normalised text stands for a run of other signs here, line breaks too.
+GATE = (
+    "licen[sc]e|copyright|permission|redistribut|warrant|spdx|liable|endorse|commons|cc0|gpl|unencumbered|"
+    "is[^a-z0-9]+provided|cc[^a-z0-9]+(by|attribution)|public[^a-z0-9]+domain|rights[^a-z0-9]+reserved|"
+    "required[^a-z0-9]+by[^a-z0-9]+applicable"
+)
 # Identifier and pattern, over lower-case text with single spaces; the first that is found counts.
 SENTENCES = (
     ("SpdxMit", "spdx-license-identifier mit( |$)"),
@@ -120,14 +127,16 @@ RULES = (
 
 def normalise(sentence: Column) -> Column:
     """Lower case, comment signs and punctuation as single spaces."""
-    return F.trim(F.regexp_replace(F.lower(sentence), r"[^a-z0-9.+/-]+|[.]+(?: |$)|(?:^| )[./*#-]+(?: |$)", " "))
+    plain = F.trim(F.regexp_replace(F.lower(sentence), r"[^a-z0-9.+/-]+|[.]+(?: |$)|(?:^| )[./*#-]+(?: |$)", " "))
+    # CC-BY-SA as CC BY-SA
+    return F.regexp_replace(plain, "(cc|commons)-(?=by|attribution)", "$1 ")
 
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the licence sentences of a text, in order."""
     # A sentence ends at its stop or at an empty line; a line break alone is white space.
     cut = F.regexp_replace(text, r"([.;!?])\s+|\n\s*\n", "$1\u0001")
-    parts = F.filter(F.split(cut, "\u0001", -1), lambda s: s.rlike(f"(?i){VOCABULARY}"))
+    parts = F.filter(F.split(cut, "\u0001", -1), lambda s: s.rlike(f"(?i){GATE}"))
 
     def identify(sentence: Column) -> Column:
         chain = F.when(F.lit(False), F.lit(""))
@@ -163,7 +172,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     further columns are ignored.
     """
     rows = inputs(docs, _id=id_col, _text=text_col)
-    mentions = F.col("_text").rlike(f"(?i){VOCABULARY}")
+    mentions = F.col("_text").rlike(f"(?i){GATE}")
     ids = F.when(mentions, sentence_ids(F.col("_text"))).otherwise(F.array().cast("array<string>"))
     found = rows.select("_id", let(ids, lambda s: F.struct(s.alias("s"), match_rules(s).alias("m"))).alias("_f"))
     return found.select(
