@@ -71,3 +71,11 @@ def test_many_mentions_stay_fast():
     text = "a1b2c@x.com " + "555 123 4567 " * 3000
     base, every = pii.all_spans(text, trained())
     assert len(base) == 1 and len(every) >= 1
+
+
+def test_one_base_mention_labels_hundreds_of_weak_ones():
+    weak = ("w " * 30 + "988 555 2485; ") * 300
+    for text in ("Call +1 988 555 2485. " + weak, weak + "Call +1 988 555 2485. ", "joe.b7@x.com +1 988 555 2485; " + "988 555 2485; " * 300):
+        base, every = pii.all_spans(text, trained())
+        added = [text[s:e] for s, k, e in every if (s, k, e) not in base]
+        assert added == ["988 555 2485"] * 300

@@ -44,6 +44,7 @@ LABELS = ("none", *KINDS)
 CLASSES = (*KINDS, *WEAK)
 SAMPLE = 4_000
 NEAR = 40  # characters between two mentions that are neighbours in the chain
+STEADY = 50  # rounds of message passing before damping
 SUFFIX = 7  # last digits that make two numbers the same value
 
 
@@ -138,15 +139,18 @@ def weak_mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int
 def graph(text: str, base: list[tuple[int, int, int]], weak: list[tuple[int, int, int, str]]):
     """Nodes (start, class, end, value) by start, chain edges and skip edges.
 
-    A value that occurs often is linked from each occurrence to the next, not in all pairs.
+    A mention is linked to the first base mention of each kind of its value, or to the first
+    mention where there is no base one: a base label is one step away, and the edges are linear.
     """
     nodes = sorted([*((s, k, e, _value(k, text[s:e])) for s, k, e in base), *weak])
     chain = [(i, i + 1) for i in range(len(nodes) - 1) if 0 <= nodes[i + 1][0] - nodes[i][2] <= NEAR]
-    skip, last = [], {}
+    hubs: dict[str, dict[int, int]] = {}
     for i, node in enumerate(nodes):
-        if node[3] in last:
-            skip.append((last[node[3]], i))
-        last[node[3]] = i
+        if node[1] < len(KINDS):
+            hubs.setdefault(node[3], {}).setdefault(node[1], i)
+    for i, node in enumerate(nodes):
+        hubs.setdefault(node[3], {-1: i})
+    skip = [(hub, i) for i, node in enumerate(nodes) for hub in hubs[node[3]].values() if hub != i]
     return nodes, chain, skip
 
 
@@ -183,8 +187,12 @@ class Field:
         self.skip, self.chain = max(self.skip, 0.0), max(self.chain, 0.0)
         return self
 
-    def marginals(self, nodes, chain, skip, rounds: int = 8) -> np.ndarray:
-        """Label probabilities of the nodes by loopy message passing; base nodes are fixed."""
+    def marginals(self, nodes, chain, skip) -> np.ndarray:
+        """Label probabilities of the nodes by loopy message passing; base nodes are fixed.
+
+        Messages pass until they settle, damped after ``STEADY`` rounds; a path has at most as many
+        steps as there are nodes, so no more rounds than that are added.
+        """
         size = len(LABELS)
         local = np.exp(self.unary[[node[1] for node in nodes]])
         for i, node in enumerate(nodes):
@@ -196,17 +204,26 @@ class Field:
         ends = np.array([(a, b) for a, b, _ in edges] + [(b, a) for a, b, _ in edges])
         same = np.array([w for *_, w in edges] * 2)[:, None]
         back = np.r_[np.arange(len(edges), 2 * len(edges)), np.arange(len(edges))]
+        fixed = np.array([node[1] < len(KINDS) for node in nodes])
+        sure = fixed[ends[:, 0]]
         sent = np.full((len(ends), size), 1.0 / size)
-        for _ in range(rounds):
+        for turn in range(STEADY + len(nodes)):
+            before = sent
             total = np.log(local + 1e-12)
             np.add.at(total, ends[:, 1], np.log(sent))
             own = total[ends[:, 0]] - np.log(sent[back])
+            own[sure] = np.log(local[ends[sure, 0]] + 1e-12)  # however many mentions lean on a base one
             own = np.exp(own - own.max(1, keepdims=True))
             # Potts potential: agreement counts ``same`` times, any other pair once.
             sent = own.sum(1, keepdims=True) + (same - 1) * own
             sent /= sent.sum(1, keepdims=True)
+            if turn >= STEADY:
+                sent = (sent + before) / 2
+            if np.abs(sent - before).max() < 1e-6:
+                break
         total = np.log(local + 1e-12)
         np.add.at(total, ends[:, 1], np.log(sent))
+        total[fixed] = np.log(local[fixed] + 1e-12)
         out = np.exp(total - total.max(1, keepdims=True))
         return out / out.sum(1, keepdims=True)
 
