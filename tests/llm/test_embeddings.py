@@ -87,3 +87,49 @@ def test_empty(spark):
     assert near.near_duplicates(table).count() == 0
     only_bad = spark.createDataFrame([(1, None, 1)], "vec_id long, embedding array<float>, label int")
     assert [tuple(r) for r in near.near_duplicates(only_bad).collect()] == [(1, 0, 1, True)]
+
+
+def test_group_many_times_larger_than_the_shards(spark, monkeypatch):
+    monkeypatch.setattr(near, "PER_CENTRE", 20)
+    rng = np.random.default_rng(5)
+    noise = [rng.normal(size=32).tolist() for _ in range(300)]
+    centre = rng.normal(size=32)
+    group = [(centre + 0.1 * rng.normal(size=32)).tolist() for _ in range(900)]  # 15 times three shards
+    rows = [(i, v, 1) for i, v in enumerate(noise + group)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near.near_duplicates(table).collect()}
+    unit = near._unit(np.array([v for _, v, _ in rows]))
+    true = (unit @ unit.T >= 0.93).sum(1) - 1
+    assert true[300:].min() > 600
+    assert all(found[i][0] <= true[i] for i in found)
+    assert sum(found[i][0] for i in found) >= 0.99 * true.sum()
+    assert {found[i][1] for i in range(300, 1200)} == {300}
+
+
+def test_failed_audits_end_in_the_exact_pass(spark, monkeypatch):
+    # A search that finds nothing: only the comparison of all pairs is left.
+    def nothing(self, queries, *_):
+        return np.zeros(0, int), np.zeros(0, int)
+
+    monkeypatch.setattr(near, "_searcher", _patched(near._searcher, nothing))
+    table = spark.createDataFrame([(i, [1.0, i / 1000], 1) for i in range(50)], "vec_id long, embedding array<double>, label int")
+    rows = near.near_duplicates(table).collect()
+    assert {r["n_links"] for r in rows} == {49} and {r["component_id"] for r in rows} == {0}
+
+
+def _patched(searcher, nothing):
+    """The searcher with ``nothing`` as the graph's search, also in the Python workers."""
+
+    def make(cosine, beam):
+        inner = searcher(cosine, beam)
+
+        def run(key, table):
+            real, near.Graph.in_range = near.Graph.in_range, nothing
+            try:
+                return inner(key, table)
+            finally:
+                near.Graph.in_range = real
+
+        return run
+
+    return make

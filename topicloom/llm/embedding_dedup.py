@@ -4,9 +4,10 @@ Vectors of one label fall into the shards of their ``overlap`` nearest centres (
 sample).  Each shard, cut into blocks of bounded size, gets a graph: greedy searches from its
 medoid give the candidates of a vector, robust pruning keeps the edges, reverse edges are added
 and pruned again.  The adjacency lists of a vector from all its shards are united.  Then every
-vector is searched in the blocks of its shards: greedily from the medoid with a beam, and where
-the beam ends inside the radius the search goes on through all neighbours in range.  What is
-found is verified in double precision.  A pair that shares several shards counts in the first.
+vector is searched in the blocks of each shard that can be the nearest one of a vector in range:
+greedily from the medoid with a beam, and where the beam ends inside the radius the search goes
+on through all neighbours in range.  What is found is verified in double precision.  A link
+counts in the nearest shard of the vector that is found.
 
 Equal vectors of a label are one vertex with a count, so copies never form pairs.
 """
@@ -37,6 +38,7 @@ AUDIT = 200
 EXPAND = 4
 BATCH = 256
 _SLACK = 1e-5  # float32 search error; what is found is verified
+_ROUTE_SLACK = 1e-4  # float32 routing error
 
 
 class Graph:
@@ -218,13 +220,17 @@ def vertices(rows: DataFrame) -> DataFrame:
     return valid.groupBy("_label", "_vec").agg(F.min("_id").alias("_v"), F.count("*").alias("_n"))
 
 
-def route(points: DataFrame, dim: int, overlap: int = OVERLAP) -> DataFrame:
-    """Add ``_cells``: the numbers of the nearest centres of the same label, in rising order.
+def route(points: DataFrame, dim: int, overlap: int = OVERLAP, cosine: float = COSINE) -> DataFrame:
+    """Add ``_cells``: the numbers of the nearest centres of the same label, in rising order,
+    ``_home``: the nearest one, and ``_visits``: all that can be the home of a vector in range.
 
+    A vector x at home at c is not nearer to the home h of q than to c, so q (h - c) is at most
+    (q - x)(h - c), and at most |q - x| |h - c|; a centre beyond that has nothing in range of q.
     Centres are at most ``CENTRES`` rows in the order of an id hash; a label without one has a
     single cell.  Their table is bounded by that number and broadcast.
     """
     spark = points.sparkSession
+    chord = math.sqrt(max(0.0, 2 - 2 * cosine))
     wanted = min(CENTRES, max(1, points.count() // PER_CENTRE))
     drawn = points.select("_v", "_label", "_vec").orderBy(F.xxhash64("_v"), "_v").limit(wanted).collect()
     by_label: dict = {}
@@ -240,26 +246,32 @@ def route(points: DataFrame, dim: int, overlap: int = OVERLAP) -> DataFrame:
         for batch in batches:
             labels = batch.column(0).to_pylist()
             vectors = _unit(_matrix(batch.column(1), dim)).astype(np.float32)
-            cells = [[-1]] * len(labels)
+            cells, homes, visits = [[-1]] * len(labels), [-1] * len(labels), [[-1]] * len(labels)
             for label in set(labels) & set(shared.value):
                 at = np.flatnonzero([x == label for x in labels])
                 numbers, centres = shared.value[label]
                 for part in np.array_split(at, max(1, len(at) * len(numbers) // 4_000_000)):
                     sims = vectors[part] @ centres.T
                     best = np.argsort(-sims, axis=1, kind="stable")[:, :overlap]
-                    for i, chosen in zip(part, best):
+                    first = best[:, 0]
+                    apart = np.sqrt(np.maximum(2 - 2 * (centres[first] @ centres.T), 0))
+                    reached = sims[np.arange(len(part)), first][:, None] - sims <= chord * apart + _ROUTE_SLACK
+                    for i, chosen, row in zip(part, best, reached):
                         cells[i] = sorted(numbers[chosen].tolist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int32()))], names=[*batch.schema.names, "_cells"])
+                        homes[i] = int(numbers[chosen[0]])
+                        visits[i] = numbers[row].tolist()
+            added = [pa.array(cells, pa.list_(pa.int32())), pa.array(homes, pa.int32()), pa.array(visits, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, "_cells", "_home", "_visits"])
 
     kind = points.schema["_label"].dataType.simpleString()
     return points.select("_label", "_vec", "_v", "_n").mapInArrow(
-        run, f"_label {kind}, _vec array<double>, _v long, _n long, _cells array<int>"
+        run, f"_label {kind}, _vec array<double>, _v long, _n long, _cells array<int>, _home int, _visits array<int>"
     )
 
 
-def placed(routed: DataFrame) -> DataFrame:
+def placed(routed: DataFrame, cells: str = "_cells") -> DataFrame:
     """One row per vector and shard: ``_cell``, ``_block``, ``_blocks`` and the vector's columns."""
-    rows = routed.withColumn("_cell", F.explode("_cells"))
+    rows = routed.withColumn("_cell", F.explode(cells)).drop("_cells", "_visits")
     sizes = rows.groupBy("_label", "_cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
     block = F.pmod(F.xxhash64("_v"), F.col("_blocks")).cast("int")
     return rows.join(sizes, ["_label", "_cell"]).withColumn("_block", block)
@@ -274,54 +286,59 @@ def _lists(table: pa.Table) -> pa.Table:
     return pa.table({"_v": ids, "_near": pa.array([ids[row[row >= 0]].tolist() for row in lists], pa.list_(pa.int64()))})
 
 
-def _searcher(cosine: float, beam: int):
+def _searcher(cosine: float, beam: int | None):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         cell = key[1].as_py()
-        query, node = (np.asarray(table[c]) for c in ("_query", "_node"))
+        query, home = np.asarray(table["_query"]), np.asarray(table["_home"])
         ids, weight = np.asarray(table["_v"]), np.asarray(table["_n"])
         raw = np.array(table["_vec"].to_pylist(), dtype=np.float64)
         norms = np.linalg.norm(raw, axis=1)
         vectors = (raw / norms[:, None]).astype(np.float32)
-        width = max(map(len, cells := table["_cells"].to_pylist()))
-        cells = np.array([c + [-2] * (width - len(c)) for c in cells])
-        nodes, queries = np.flatnonzero(node), np.flatnonzero(query)
+        nodes, queries = np.flatnonzero(~query), np.flatnonzero(query)
         if not len(nodes) or not len(queries):
             return _none()
         nodes, queries = nodes[np.argsort(ids[nodes])], queries[np.argsort(ids[queries])]
-        known = {int(v): i for i, v in enumerate(ids[nodes])}
-        lists = [[known[x] for x in table["_near"][int(i)].as_py() if x in known] for i in nodes]
-        degree = max(1, max(map(len, lists)))
-        near = np.array([x + [-1] * (degree - len(x)) for x in lists], dtype=np.int64).reshape(len(nodes), degree)
-        graph = Graph(vectors[nodes], near)
-        graph.join_directions()
-        own = np.array([known.get(int(v), -1) for v in ids[queries]])
+        if beam is not None:
+            known = {int(v): i for i, v in enumerate(ids[nodes])}
+            lists = [[known[x] for x in table["_near"][int(i)].as_py() if x in known] for i in nodes]
+            degree = max(1, max(map(len, lists)))
+            near = np.array([x + [-1] * (degree - len(x)) for x in lists], dtype=np.int64).reshape(len(nodes), degree)
+            graph = Graph(vectors[nodes], near)
+            graph.join_directions()
+            own = np.array([known.get(int(v), -1) for v in ids[queries]])
         links = np.zeros(len(ids), dtype=np.int64)
+        # Rows of one id, as query and as node, share a place.
+        values, place = np.unique(ids, return_inverse=True)
+        least, hit = values.copy(), np.zeros(len(values), dtype=bool)
         left, right = [], []
         for start in range(0, len(queries), BATCH):
             some = queries[start : start + BATCH]
-            q, x = graph.in_range(vectors[some], own[start : start + BATCH], cosine - _SLACK, beam)
+            if beam is None:
+                q, x = np.nonzero(vectors[some] @ vectors[nodes].T >= cosine - _SLACK)
+            else:
+                q, x = graph.in_range(vectors[some], own[start : start + BATCH], cosine - _SLACK, beam)
             q, x = some[q], nodes[x]
             q, x = q[ids[q] != ids[x]], x[ids[q] != ids[x]]
             for part in range(0, len(q), 100_000):
                 a, b = q[part : part + 100_000], x[part : part + 100_000]
-                # Verified in double precision; counted in the first shard that both are in.
+                # Verified in double precision; every pair joins, a link counts where the node is at home.
                 ok = np.einsum("ij,ij->i", raw[a], raw[b]) >= cosine * (norms[a] * norms[b])
-                common = np.where((cells[a][:, :, None] == cells[b][:, None, :]).any(2), cells[a], 1 << 30).min(1)
-                ok &= common == cell
-                np.add.at(links, a[ok], weight[b[ok]])
-                left.append(a[ok])
-                right.append(b[ok])
+                a, b = a[ok], b[ok]
+                at_home = home[b] == cell
+                np.add.at(links, a[at_home], weight[b[at_home]])
+                left.append(place[a])
+                right.append(place[b])
         a, b = np.concatenate(left or [[]]).astype(int), np.concatenate(right or [[]]).astype(int)
-        least = ids.copy()
-        # Rows that are query and node at once may appear twice under one id only across blocks.
         while len(a):
             before = least.copy()
             np.minimum.at(least, a, least[b])
             np.minimum.at(least, b, least[a])
             if (before == least).all():
                 break
-        hit = np.unique(np.r_[a, b])
-        return pa.table({"_v": ids[hit], "_links": links[hit], "_least": least[hit]})
+        hit[a] = hit[b] = True
+        total = np.zeros(len(values), dtype=np.int64)
+        np.add.at(total, place, links)
+        return pa.table({"_v": values[hit], "_links": total[hit], "_least": least[hit]})
 
     return run
 
@@ -330,22 +347,28 @@ def _none() -> pa.Table:
     return pa.table({c: pa.array([], pa.int64()) for c in ("_v", "_links", "_least")})
 
 
-def search_all(routed: DataFrame, cosine: float = COSINE, beam: int = BEAM) -> DataFrame:
+def search_all(routed: DataFrame, cosine: float = COSINE, beam: int | None = BEAM) -> DataFrame:
     """Rows ``_v``, ``_links``, ``_least``, several per vector: links found in a task and the least
-    id they lead to there."""
-    rows = keep(placed(routed), "graph-placed")
-    built = rows.select("_label", "_cell", "_block", "_v", "_vec").groupBy("_label", "_cell", "_block")
-    lists = built.applyInArrow(_lists, "_v long, _near array<long>")
-    union = lists.groupBy("_v").agg(F.array_distinct(F.flatten(F.collect_list("_near"))).alias("_near"))
-    full = rows.join(union, "_v")
-    # Every block of a shard is searched for the queries of every block of it.
-    pairs = full.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    columns = ["_label", "_cell", "_v", "_n", "_vec", "_cells", "_near"]
-    as_query = pairs.select(*columns, F.col("_block").alias("_i"), F.col("_other").alias("_j"),
-                            F.lit(True).alias("_query"), (F.col("_block") == F.col("_other")).alias("_node"))
-    as_node = pairs.where("_block != _other").select(*columns, F.col("_other").alias("_i"), F.col("_block").alias("_j"),
-                                                     F.lit(False).alias("_query"), F.lit(True).alias("_node"))
-    tasks = as_query.unionByName(as_node).select("_label", "_cell", "_i", "_j", "_v", "_n", "_vec", "_cells", "_near", "_query", "_node")
+    id they lead to there.  Without a beam all pairs of a query block and a node block are compared."""
+    nodes = keep(placed(routed), "graph-placed")
+    asked = keep(placed(routed, "_visits"), "graph-asked")
+    if beam is None:
+        full = nodes.where("_home = _cell").withColumn("_near", F.lit(None).cast("array<long>"))
+    else:
+        built = nodes.select("_label", "_cell", "_block", "_v", "_vec").groupBy("_label", "_cell", "_block")
+        lists = built.applyInArrow(_lists, "_v long, _near array<long>")
+        union = lists.groupBy("_v").agg(F.array_distinct(F.flatten(F.collect_list("_near"))).alias("_near"))
+        full = nodes.join(union, "_v")
+    # Every block of a shard is searched for every block of the queries that visit it.
+    sizes = [rows.select("_label", "_cell", F.col("_blocks").alias("_others")).distinct() for rows in (nodes, asked)]
+    every = F.explode(F.sequence(F.lit(0), F.col("_others") - 1))
+    as_query = asked.join(sizes[0], ["_label", "_cell"]).select(
+        "_label", "_cell", F.col("_block").alias("_i"), every.alias("_j"), "_v", "_n", "_vec", "_home",
+        F.lit(None).cast("array<long>").alias("_near"), F.lit(True).alias("_query"))
+    as_node = full.join(sizes[1], ["_label", "_cell"]).select(
+        "_label", "_cell", every.alias("_i"), F.col("_block").alias("_j"), "_v", "_n", "_vec", "_home", "_near",
+        F.lit(False).alias("_query"))
+    tasks = as_query.unionByName(as_node)
     return tasks.groupBy("_label", "_cell", "_i", "_j").applyInArrow(_searcher(cosine, beam), "_v long, _links long, _least long")
 
 
@@ -384,7 +407,8 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     """Per row: id, ``n_links``, ``component_id`` (least id reachable), ``kept`` (own id is that).
 
     Recall is audited on a bounded number of vectors against all rows; while it is below
-    ``least_recall`` the search is repeated with twice the beam, three times at most.  Invalid
+    ``least_recall`` the search is repeated with twice the beam, then with four times, and at last
+    all pairs of the blocks are compared.  Invalid
     vectors link with nothing and are their own component.  Vectors of another length than
     the rest are compared among themselves only.  Rows that share an id and a vector are copies
     of each other (their links count); a null id has a null component and is not kept.  An
@@ -395,15 +419,14 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     counts, edges = None, None
     for dim in sorted(r[0] for r in points.select(F.size("_vec")).distinct().collect()):
         same = points.where(F.size("_vec") == dim)
-        routed = keep(route(same, dim), "graph-routed")
-        width = beam
+        routed = keep(route(same, dim, cosine=cosine), "graph-routed")
         truth = keep(true_links(same, dim, cosine), "graph-truth")
-        for _ in range(3):
+        for width in (beam, 2 * beam, 4 * beam, None):
             found = keep(search_all(routed, cosine, width), "graph-found")
             links = found.groupBy("_v").agg(F.sum("_links").alias("_links"))
-            if recall(links, truth) >= least_recall:
+            if width is None or recall(links, truth) >= least_recall:
                 break
-            width *= 2
+            drop_kept(found)
         part = found.select(F.col("_v").alias("u"), F.col("_least").alias("v"))
         counts = links if counts is None else counts.union(links)
         edges = part if edges is None else edges.union(part)
