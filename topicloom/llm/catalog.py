@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from topicloom.llm import (
     bpe_automaton,
     embedding_dedup,
+    fingerprints,
     jaccard_join,
     licenses,
     mixing,
@@ -241,3 +242,8 @@ FROM done"""
 def op3(spark, folder):
     found = licenses.scan(table(spark, folder, "documents"))
     return found.select("doc_id", *[F.array_join(c, " ").alias(c) for c in ("sentences", "licenses", "unmatched")])
+
+
+@query("op13_ctph_fingerprints")
+def op13(spark, folder):
+    return fingerprints.fingerprint_edits(table(spark, folder, "documents"))
