@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.llm import (
+    alignment,
     bpe_automaton,
     embedding_dedup,
     fingerprints,
@@ -247,3 +248,12 @@ def op3(spark, folder):
 @query("op13_ctph_fingerprints")
 def op13(spark, folder):
     return fingerprints.fingerprint_edits(table(spark, folder, "documents"))
+
+
+@query("op12_token_alignment")
+def op12(spark, folder):
+    return alignment.align_documents(
+        table(spark, folder, "documents"),
+        public_tokenizers.path(alignment.A_FILE),
+        public_tokenizers.path(alignment.B_FILE),
+    )
