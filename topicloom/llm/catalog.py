@@ -20,6 +20,7 @@ from topicloom.llm import (
     pii_crf,
     quality_classifier,
     quality_rules,
+    spelling,
     toxicity,
     warc,
 )
@@ -257,3 +258,8 @@ def op12(spark, folder):
         public_tokenizers.path(alignment.A_FILE),
         public_tokenizers.path(alignment.B_FILE),
     )
+
+
+@query("op11_spelling_variants")
+def op11(spark, folder):
+    return spelling.variant_groups(table(spark, folder, "documents"))
