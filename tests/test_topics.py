@@ -175,3 +175,45 @@ def test_model_with_outliers_labels_and_split(spark):
     halves = split_cluster(docs, 0, lambda part: part.select("id", (F.col("id") % 2).cast("int").alias("label")))
     got = {r.id: r.cluster for r in halves.collect()}
     assert got[4] == 1 and got[0] == -1 and {got[3], got[6]} == {1000, 1001}
+
+
+def _refit_docs(spark):
+    rnd = np.random.default_rng(3)
+    vocab = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa", "theta", "the"]
+    rows = []
+    for i in range(120):
+        cluster = [0, 0, 0, 1, 2, -1][i % 6]
+        text = " ".join(rnd.choice(vocab, size=rnd.integers(0, 12)))
+        rows.append((i, cluster, text if i % 17 else None))
+    return spark.createDataFrame(rows, "id long, cluster int, abstract string")
+
+
+def test_move_counts_equal_counting_again(spark):
+    docs = _refit_docs(spark)
+    counts = topics.term_counts(docs, "cluster", stop_words=["the"])
+    moved = docs.where("id % 4 = 0").select(F.col("cluster").alias("old"), (F.col("cluster") + 10).alias("new"), "abstract")
+    got = topics.move_counts(counts, moved, "old", "new", stop_words=["the"])
+    after = docs.withColumn("cluster", F.when(F.col("id") % 4 == 0, F.col("cluster") + 10).otherwise(F.col("cluster")))
+    want = topics.term_counts(after, "cluster", stop_words=["the"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_split_and_refit_equals_fit_from_scratch(spark):
+    from topicloom.plans.topics import split_and_refit
+
+    docs = _refit_docs(spark)
+    counts = keep(topics.term_counts(docs, "cluster", stop_words=["the"]), "counts")
+
+    def cluster_fn(part):  # three sub-clusters and some outliers
+        return part.select("id", F.when(F.col("id") % 5 == 0, -1).otherwise(F.col("id") % 3).alias("label"))
+
+    model = split_and_refit(docs, counts, 0, cluster_fn, stop_words=["the"], min_df=0.1)
+    split = model["doc_topics"]
+    moved = {r.id: r.cluster for r in split.collect()}
+    assert {c for i, c in moved.items() if i % 6 in (0, 1, 2)} <= {1000, 1001, 1002, -1}
+    assert all(moved[i] == c for i, c in {3: 1, 4: 2, 5: -1}.items())
+    scratch = topics.fit_topics(split.drop("topic"), "cluster", stop_words=["the"], min_df=0.1)
+    assert sorted(map(tuple, model["topic_info"].collect())) == sorted(map(tuple, scratch[1].collect()))
+    got = {(r.topic, r.term): r.weight for r in model["ctfidf"].collect()}
+    want = {(r.topic, r.term): r.weight for r in scratch[2].collect()}
+    assert got.keys() == want.keys() and got == pytest.approx(want)

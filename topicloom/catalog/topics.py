@@ -18,7 +18,7 @@ from topicloom.catalog.registry import (
 from topicloom.functions.text import bullets, clean_label, display_label, too_long
 from topicloom.operators import labels, refine, topics, views
 from topicloom.operators.density import coverage
-from topicloom.plans.topics import split_cluster
+from topicloom.plans.topics import split_and_refit, split_cluster
 from topicloom.workspace import keep
 
 DESCRIBED = f"{COUNTS}, {weights_sql()}, {info_sql()}"
@@ -285,3 +285,37 @@ def split(spark, folder):
         return hdbscan(keep(part.select("id", "vec"), "part"), min_cluster_size=3, min_samples=1)
 
     return split_cluster(rows, 0, cluster_fn).select("id", "cluster")
+
+
+def _split_sql() -> str:
+    """SQL of the split recipe from scratch: density labels of cluster 0's documents,
+    sub-topics by size from 1000, written back, and a whole new fit."""
+    import re
+
+    from topicloom.catalog.clusters import PRIM, labels_sql, reach_sql
+
+    density = f"{reach_sql(1)}, {PRIM}, {labels_sql(3)}"
+    names = set(re.findall(r"(\w+) AS (?:MATERIALIZED )?\(", density)) | {"emb", "tree"}
+    density = re.sub(r"\b(" + "|".join(sorted(names)) + r")\b", r"h_\1", density)
+    density = density.replace("FROM embeddings)", "FROM embeddings WHERE label = 0 AND vec_id IN (SELECT doc_id FROM documents))", 1)
+    return f"""WITH RECURSIVE {TOPICAL}, {density},
+subrank AS (SELECT label AS old, row_number() OVER (ORDER BY count(*) DESC, label) - 1 AS new FROM h_labels WHERE label <> -1 GROUP BY label),
+moved AS (SELECT l.id, CASE WHEN l.label = -1 THEN -1 ELSE r.new + 1000 END AS topic FROM h_labels l LEFT JOIN subrank r ON r.old = l.label),
+split AS (SELECT d.id, d.title, d.text, coalesce(m.topic, d.topic) AS topic FROM docs d LEFT JOIN moved m ON m.id = d.id),
+{_fit_sql('split')} {_INFO}"""
+
+
+@query("g14_split_refit", _split_sql())
+def split_refit(spark, folder):
+    from topicloom.operators.density import hdbscan
+
+    vecs = vectors(spark, folder).select("id", "vec")
+    docs = topical(spark, folder).withColumnRenamed("topic", "cluster").join(vecs, "id", "left")
+    # The earlier fit's term counts per cluster; the split updates them instead of counting again.
+    counts = keep(topics.term_counts(docs, "cluster", **DESCRIBE), "fit-counts")
+
+    def cluster_fn(part):
+        return hdbscan(keep(part.select("id", "vec"), "part"), min_cluster_size=3, min_samples=1)
+
+    model = split_and_refit(docs, counts, 0, cluster_fn, **DESCRIBE)
+    return flat_info(model["topic_info"])

@@ -67,6 +67,60 @@ def class_tfidf(
     )
 
 
+def move_counts(
+    counts: DataFrame,
+    moved: DataFrame,
+    old_col: str,
+    new_col: str,
+    text_col: str = "abstract",
+    stop_words: Iterable[str] | None = None,
+) -> DataFrame:
+    """(topic, term, n) after documents changed topic, without tokenising the others again.
+
+    ``moved`` holds only the documents whose topic changed, with their old and new
+    topic.  Each of their terms is counted once with -1 for the old topic and +1
+    for the new; the deltas are summed map-side together with ``counts`` and rows
+    that fall to zero are dropped, so the result equals ``term_counts`` of the
+    whole corpus under its new topics.
+    """
+    if stop_words is None:
+        stop_words = StopWordsRemover.loadDefaultStopWords("english")
+    terms = moved.select(
+        F.col(old_col).alias("_old"), F.col(new_col).alias("_new"), F.explode(tokens(F.col(text_col))).alias("term")
+    ).where(~F.col("term").isin(list(stop_words)))
+    sides = F.array(
+        F.struct(F.col("_old").alias("topic"), F.lit(-1).cast("long").alias("n")),
+        F.struct(F.col("_new").alias("topic"), F.lit(1).cast("long").alias("n")),
+    )
+    delta = terms.select("term", F.explode(sides).alias("_d")).select("_d.topic", "term", "_d.n")
+    return (
+        counts.select("topic", "term", F.col("n").cast("long"))
+        .unionByName(delta)
+        .groupBy("topic", "term")
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n") > 0)
+    )
+
+
+def describe_counts(
+    counts: DataFrame,
+    sizes: DataFrame,
+    min_df: float = 0.1,
+    weight_fn: Callable[[DataFrame, int], DataFrame] | None = None,
+    n_terms: int = 10,
+) -> tuple[DataFrame, DataFrame]:
+    """Topic table and term weights from term counts (topic, term, n) and sizes (topic, cnt)."""
+    n_topics = sizes.count()
+    weights = weight_fn(counts, n_topics) if weight_fn else class_tfidf(counts, n_topics, min_df)
+    info = sizes.join(top_terms(weights, n_terms), "topic", "left").select(
+        "topic",
+        "cnt",
+        topic_name(),
+        F.coalesce("representation", F.array().cast("array<string>")).alias("representation"),
+    )
+    return info, weights
+
+
 def top_terms(weights: DataFrame, n: int = 10) -> DataFrame:
     """(topic, representation): the heaviest terms of each topic, best first."""
     order = [F.round("weight", 9).desc(), F.col("term")]
@@ -102,16 +156,7 @@ def describe(
         counts = tokenize_fn(docs)
     # Read three times below; kept so that the texts are tokenised once.
     counts = keep(counts, "term-counts")
-    sizes = topic_counts(docs, topic_col)
-    n_topics = sizes.count()
-    weights = weight_fn(counts, n_topics) if weight_fn else class_tfidf(counts, n_topics, min_df)
-    info = sizes.join(top_terms(weights, n_terms), "topic", "left").select(
-        "topic",
-        "cnt",
-        topic_name(),
-        F.coalesce("representation", F.array().cast("array<string>")).alias("representation"),
-    )
-    return info, weights
+    return describe_counts(counts, topic_counts(docs, topic_col), min_df, weight_fn, n_terms)
 
 
 def topic_name(n: int = 4):
