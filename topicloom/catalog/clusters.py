@@ -244,3 +244,27 @@ WHERE CAST('0x' || substr(md5('123:' || doc_id), 1, 8) AS BIGINT) < 0.3 * 429496
 def fraction(spark, folder):
     rows = table(spark, folder, "documents").select(F.col("doc_id").alias("id"))
     return search.sample_rows(rows, 0.3)
+
+
+# Several sample counts: one neighbour search for the largest serves all trees.
+SAMPLES_SEARCH = {"min_samples": [1, 3, 5], "min_cluster_size": [3, 5], "cluster_selection_epsilon": [0.0]}
+
+
+def _samples_trial_sql(samples: int, least: int, epsilon: float) -> str:
+    return _trial_sql(least, epsilon).replace(reach_sql(1), reach_sql(samples), 1).replace(
+        "1 AS min_samples", f"{samples} AS min_samples", 1
+    ).replace(f"md5('123:1:{least}:{epsilon}') AS key", f"{samples} AS key", 1)
+
+
+_SAMPLES_TRIALS = " UNION ALL ".join(
+    _samples_trial_sql(samples, least, epsilon)
+    for samples in SAMPLES_SEARCH["min_samples"]
+    for least in SAMPLES_SEARCH["min_cluster_size"]
+    for epsilon in SAMPLES_SEARCH["cluster_selection_epsilon"]
+)
+
+
+@query("g10_param_search_samples", f"SELECT * EXCLUDE (key) FROM ({_SAMPLES_TRIALS})")
+def parameter_search_samples(spark, folder):
+    found = search.parameter_search(vectors(spark, folder), SAMPLES_SEARCH, 6)
+    return found.withColumns({c: F.round(c, 6) for c in ("validity", "coverage")})
