@@ -23,8 +23,8 @@ seen from the shorter word.  All queries of a group advance together, one
 numpy step per pattern position.
 
 On Spark, the vocabulary is counted by a grouped aggregation with map-side
-combine.  Each word then goes to the groups (scheme, length band, exact half)
-where it can be a query or a target; a group larger than ``SHARD_CHARS``
+combine.  Each word then goes to the groups (scheme, length band, first or
+last ``KEY_CHARS`` of the exact half) where it can be a query or a target; a group larger than ``SHARD_CHARS``
 characters splits its index into shards and every query of the group searches
 each shard, so no task holds more than one shard's index.  Found pairs are
 made symmetric and distinct, forms are chosen by one aggregation, and roots
@@ -50,8 +50,11 @@ DROP_MODULUS = 97
 MIN_LENGTH = 5
 MIN_COUNT = 3
 FORM_FACTOR = 2
-# Parameter: characters of one index shard (bounds a task's index memory).
+# Parameters: characters of one index shard (bounds a task's index memory), and characters of
+# the exact half that place a word in a group (the half is at least 2 long from 5 code points on;
+# the index itself matches the rest of the half).
 SHARD_CHARS = 200_000
+KEY_CHARS = 2
 
 SEP, END = 1, 0  # codes of the word delimiter and of the text end
 
@@ -212,12 +215,11 @@ def near_pairs(vocab: DataFrame) -> DataFrame:
             F.struct((length - 1).alias("_m"), F.lit(False).alias("_q")),
         )).alias("_p"),
     ).select("word", "_p._m", "_p._q").where(F.col("_m") >= MIN_LENGTH)
-    half = F.floor(F.col("_m") / 2).cast("int")
     keyed = placed.select(
         "word", "_m", "_q",
         F.explode(F.array(
-            F.struct(F.lit("L").alias("_s"), F.col("word").substr(F.lit(1), half).alias("_k")),
-            F.struct(F.lit("R").alias("_s"), F.expr("substring(word, -(_m - floor(_m / 2)))").alias("_k")),
+            F.struct(F.lit("L").alias("_s"), F.col("word").substr(1, KEY_CHARS).alias("_k")),
+            F.struct(F.lit("R").alias("_s"), F.expr(f"substring(word, -{KEY_CHARS})").alias("_k")),
         )).alias("_g"),
     ).select("word", "_m", "_q", "_g._s", "_g._k")
     group = ["_s", "_m", "_k"]
