@@ -28,12 +28,12 @@ def test_align_equals_common_ends():
         ca = sorted(rnd.sample(range(1, total), min(total - 1, rnd.randint(0, total - 1)))) + [total]
         cb = sorted(rnd.sample(range(1, total), min(total - 1, rnd.randint(0, total - 1)))) + [total]
         ea, eb = np.array(ca), np.array(cb)
-        groups = al.align(ea, eb)
+        groups = al.groups_of(*al.align(ea, eb))
         assert groups == _groups_brute(ea, eb)
         starts_a, starts_b = np.concatenate(([0], ea[:-1])), np.concatenate(([0], eb[:-1]))
         brute = {(p, q) for p in range(len(ea)) for q in range(len(eb))
                  if max(starts_a[p], starts_b[q]) < min(ea[p], eb[q])}
-        assert sorted(p for g in groups for p in al.links_of(ea, eb, g)) == sorted(brute)
+        assert sorted(zip(*(x.tolist() for x in al.links(ea, eb)))) == sorted(brute)
 
 
 def test_byte_table_is_a_bijection():

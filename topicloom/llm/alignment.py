@@ -34,6 +34,7 @@ from topicloom.workspace import keep
 A_FILE = "byte_bpe_50k.json"
 B_FILE = "piece_bpe_32k.model"
 SALTS = 16
+CHUNK = 16  # texts tokenized at once: bounds the encodings a Python worker holds
 
 
 def byte_level_table() -> dict[str, int]:
@@ -57,6 +58,24 @@ def piece_bytes(piece: str) -> bytes:
     return piece.replace("▁", " ").encode("utf-8")
 
 
+def _flat(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All token byte strings in one array, with each id's start and length."""
+    lengths = np.array([len(x) for x in pieces], dtype=np.int64)
+    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+    return np.frombuffer(b"".join(pieces), dtype=np.uint8), starts, lengths
+
+
+def _joins_to(ids: np.ndarray, flat, want: np.ndarray) -> bool:
+    """Whether the byte strings of ``ids``, joined, are ``want`` (gathered by numpy)."""
+    data, starts, lengths = flat
+    lens = lengths[ids]
+    if int(lens.sum()) != len(want):
+        return False
+    before = np.cumsum(lens) - lens
+    idx = np.repeat(starts[ids] - before, lens) + np.arange(len(want))
+    return bool(np.array_equal(data[idx], want))
+
+
 class Tokenizers:
     """Both tokenizers with the byte string of every id, loaded once per Python worker."""
 
@@ -72,23 +91,20 @@ class Tokenizers:
             bytes(table[c] for c in (self.a.id_to_token(i) or "")) for i in range(self.a.get_vocab_size())
         ]
         self.b_bytes = [piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
-        self.a_len = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
-        self.b_len = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
+        self.a_flat, self.b_flat = _flat(self.a_bytes), _flat(self.b_bytes)
+        self.a_len, self.b_len = self.a_flat[2], self.b_flat[2]
 
     def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """(A ids, B ids) per text, or None where a text is empty or either tokenization
         does not join to exactly space + text."""
-        encoded_a = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
+        # The fast variant skips offsets; the ids are the same.
+        encoded_a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
         encoded_b = self.b.encode(texts, num_threads=1)
         out = []
         for text, ea, eb in zip(texts, encoded_a, encoded_b):
-            want = (" " + text).encode("utf-8")
+            want = np.frombuffer((" " + text).encode("utf-8"), dtype=np.uint8)
             a, b = np.array(ea.ids, dtype=np.int64), np.array(eb, dtype=np.int64)
-            if (
-                not text
-                or b"".join(self.a_bytes[i] for i in a) != want
-                or b"".join(self.b_bytes[i] for i in b) != want
-            ):
+            if not text or not _joins_to(a, self.a_flat, want) or not _joins_to(b, self.b_flat, want):
                 out.append(None)
             else:
                 out.append((a, b))
@@ -100,84 +116,115 @@ def _loaded(a_path: str, b_path: str) -> Tokenizers:
     return Tokenizers(a_path, b_path)
 
 
-def align(ends_a: np.ndarray, ends_b: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """Groups ``(a_lo, a_hi, b_lo, b_hi)`` (index ranges, end exclusive) of two end arrays.
+def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Group borders of two end arrays: per group the exclusive end index in A and in B.
 
     Both arrays rise strictly and end at the same offset.  Groups are cut where
-    an A token and a B token end at the same byte.
+    an A token and a B token end at the same byte.  One-to-one stretches along
+    the current diagonal are found by exponential probing (slices of the end
+    lists compared at the shift, windows doubling); an irregular group is
+    closed locally by advancing the end that lies behind.  Plain lists: the
+    stretches are short, so list slices beat array calls.
     """
-    na, nb = len(ends_a), len(ends_b)
-    groups: list[tuple[int, int, int, int]] = []
+    ea, eb = ends_a.tolist(), ends_b.tolist()
+    na, nb = len(ea), len(eb)
+    a_cut: list[int] = []
+    b_cut: list[int] = []
     i = j = 0
     while i < na and j < nb:
-        # Exponential probe along the diagonal of the current shift.
         run, step = 0, 1
         while True:
             stop = min(step, na - i, nb - j)
-            window = ends_a[i + run : i + stop] != ends_b[j + run : j + stop]
-            if window.any():
-                run += int(window.argmax())
+            if ea[i + run : i + stop] != eb[j + run : j + stop]:
+                while ea[i + run] == eb[j + run]:
+                    run += 1
                 break
             run = stop
             if stop < step:
                 break
             step *= 2
-        groups.extend((i + k, i + k + 1, j + k, j + k + 1) for k in range(run))
-        i, j = i + run, j + run
+        if run:
+            a_cut.extend(range(i + 1, i + run + 1))
+            b_cut.extend(range(j + 1, j + run + 1))
+            i, j = i + run, j + run
         if i >= na or j >= nb:
             break
-        # Irregular group: advance the end that lies behind until both meet.
-        p, q = i, j
-        while ends_a[p] != ends_b[q]:
-            if ends_a[p] < ends_b[q]:
-                p += 1
+        # Irregular group, resolved locally; the shift j - i changes with it.
+        x, y = ea[i], eb[j]
+        while x != y:
+            if x < y:
+                i += 1
+                x = ea[i]
             else:
-                q += 1
-        groups.append((i, p + 1, j, q + 1))
-        i, j = p + 1, q + 1
-    return groups
-
-
-def links_of(ends_a: np.ndarray, ends_b: np.ndarray, group: tuple[int, int, int, int]) -> list[tuple[int, int]]:
-    """Index pairs (A, B) of the tokens of a group whose byte ranges overlap."""
-    a_lo, a_hi, b_lo, b_hi = group
-    if a_hi - a_lo == 1 or b_hi - b_lo == 1:
-        return [(p, q) for p in range(a_lo, a_hi) for q in range(b_lo, b_hi)]
-    out, p, q = [], a_lo, b_lo
-    while True:
-        out.append((p, q))
-        if p == a_hi - 1 and q == b_hi - 1:
-            return out
-        if ends_a[p] < ends_b[q]:
-            p += 1
-        elif ends_a[p] > ends_b[q]:
-            q += 1
-        else:  # cannot happen inside a group; kept for safety
-            p, q = p + 1, q + 1
+                j += 1
+                y = eb[j]
+        i, j = i + 1, j + 1
+        a_cut.append(i)
+        b_cut.append(j)
+    return np.array(a_cut, dtype=np.int64), np.array(b_cut, dtype=np.int64)
+
+
+def groups_of(a_cut: np.ndarray, b_cut: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """The groups as ``(a_lo, a_hi, b_lo, b_hi)`` index ranges."""
+    a_lo = np.concatenate(([0], a_cut[:-1]))
+    b_lo = np.concatenate(([0], b_cut[:-1]))
+    return list(zip(a_lo.tolist(), a_cut.tolist(), b_lo.tolist(), b_cut.tolist()))
+
+
+def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (A, B) of overlapping tokens: one per piece between consecutive ends of either."""
+    union = np.union1d(ends_a, ends_b)
+    return np.searchsorted(ends_a, union), np.searchsorted(ends_b, union)
+
+
+def _digits(x: np.ndarray) -> np.ndarray:
+    out = np.ones(len(x), dtype=np.int64)
+    for power in (10, 100, 1_000, 10_000, 100_000, 1_000_000):
+        out += x >= power
+    return out
+
+
+def groups_text(a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray) -> bytes:
+    """``a1,a2|b1;a3|b2,b3``: per group its A ids, then its B ids, in token order."""
+    ga = np.searchsorted(a_cut, np.arange(len(a)), side="right")
+    gb = np.searchsorted(b_cut, np.arange(len(b)), side="right")
+    b_before = np.concatenate(([0], b_cut[:-1]))
+    seq = np.empty(len(a) + len(b), dtype=np.int64)
+    seq[b_before[ga] + np.arange(len(a))] = a
+    seq[a_cut[gb] + np.arange(len(b))] = b
+    buf = bytearray(",".join(map(str, seq.tolist())).encode())
+    marks = np.frombuffer(buf, dtype=np.uint8)
+    after = np.cumsum(_digits(seq) + 1) - 1  # separator after each element
+    marks[after[a_cut + b_before - 1]] = ord("|")
+    marks[after[(a_cut + b_cut - 1)[:-1]]] = ord(";")
+    return bytes(buf)
 
 
 def document(tok: Tokenizers, a: np.ndarray, b: np.ndarray):
     """Per-document figures and the link multiset as (A id, B id, count) arrays."""
     ends_a, ends_b = np.cumsum(tok.a_len[a]), np.cumsum(tok.b_len[b])
-    groups = align(ends_a, ends_b)
-    pairs = [pair for g in groups for pair in links_of(ends_a, ends_b, g)]
-    idx = np.array(pairs, dtype=np.int64).reshape(-1, 2)
-    keys = a[idx[:, 0]] * (1 << 20) + b[idx[:, 1]]
+    a_cut, b_cut = align(ends_a, ends_b)
+    pa_, pb_ = links(ends_a, ends_b)
+    keys = a[pa_] * (1 << 20) + b[pb_]
     uniq, mult = np.unique(keys, return_counts=True)
-    text = ";".join(
-        ",".join(map(str, a[lo:hi])) + "|" + ",".join(map(str, b[blo:bhi])) for lo, hi, blo, bhi in groups
-    )
-    return len(groups), len(pairs), hashlib.sha256(text.encode()).hexdigest(), uniq >> 20, uniq & ((1 << 20) - 1), mult
+    digest = hashlib.sha256(groups_text(a, b, a_cut, b_cut)).hexdigest()
+    return len(a_cut), len(pa_), digest, uniq >> 20, uniq & ((1 << 20) - 1), mult
 
 
 LINK = pa.list_(pa.int64())
 
 
+def _slices(batches):
+    for whole in batches:
+        for start in range(0, whole.num_rows, CHUNK):
+            yield whole.slice(start, CHUNK)
+
+
 def _aligned(a_path: str, b_path: str):
     def run(batches):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         tok = _loaded(a_path, b_path)
-        for batch in batches:
+        for batch in _slices(batches):
             texts = [t or "" for t in batch.column("_text").to_pylist()]
             cols = {k: [] for k in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "_la", "_lb", "_lm")}
             for pair in tok.tokens(texts):
