@@ -217,3 +217,22 @@ def test_split_and_refit_equals_fit_from_scratch(spark):
     got = {(r.topic, r.term): r.weight for r in model["ctfidf"].collect()}
     want = {(r.topic, r.term): r.weight for r in scratch[2].collect()}
     assert got.keys() == want.keys() and got == pytest.approx(want)
+
+
+def test_subset_and_merge_with_100000_ids(spark):
+    docs = spark.range(200_000).select(F.col("id"), (F.col("id") % 150_000).alias("cluster"))
+    ids = list(range(0, 200_000, 2))  # 100,000 ids: a table, not literals
+    got = refine.only_clusters(docs, ids)
+    assert got.count() == docs.where(F.col("cluster") % 2 == 0).count()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
+    table = spark.createDataFrame([(i,) for i in ids[:10]] * 3, "c long")
+    assert refine.only_clusters(docs, table).count() == 20  # repeated ids repeat nothing
+    groups = [[i, i + 1] for i in range(0, 100_000, 2)]  # 50,000 merges
+    merged = refine.merge_topics(docs.withColumnRenamed("cluster", "topic"), groups)
+    want = docs.select("id", F.when((F.col("cluster") < 100_000) & (F.col("cluster") % 2 == 1), F.col("cluster") - 1)
+                       .otherwise(F.col("cluster")).alias("topic"))
+    assert merged.select("id", "topic").exceptAll(want).count() == 0 and merged.count() == 200_000
+    mapping = spark.createDataFrame([(1, 0), (1, 7), (3, 2)], "old long, new long")
+    small_docs = spark.createDataFrame([(0, 1), (1, 3), (2, None)], "id long, topic long")
+    assert sorted(map(tuple, refine.merge_topics(small_docs, mapping).collect())) == [(0, 0), (1, 2), (2, None)]

@@ -8,10 +8,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.operators.topics import OUTLIER
+from topicloom.workspace import small
 
+# Lists up to this length become literals in the plan; longer ones a table that is joined.
+LITERAL_IDS = 1_000
 
-def only_clusters(docs: DataFrame, ids: Iterable[int], cluster_col: str = "cluster") -> DataFrame:
-    return docs.where(F.col(cluster_col).isin(list(ids)))
+
+def _id_table(docs: DataFrame, ids, name: str) -> DataFrame:
+    if isinstance(ids, DataFrame):
+        return ids.select(F.col(ids.columns[0]).alias(name))
+    rows = [(v,) for v in dict.fromkeys(ids)]
+    kind = docs.schema[name].dataType.simpleString() if name in docs.columns else "bigint"
+    return docs.sparkSession.createDataFrame(rows, f"{name} {kind}")
+
+
+def only_clusters(docs: DataFrame, ids, cluster_col: str = "cluster") -> DataFrame:
+    """Rows whose cluster is one of ``ids``: a short list, a long list or a one-column table.
+
+    Short lists are literals (``isin``); a long list or a table is a left semi join,
+    broadcast when the table is counted small and shuffled otherwise.  Nulls match
+    nothing; repeated ids do not repeat rows.
+    """
+    if not isinstance(ids, DataFrame):
+        ids = list(ids)
+        if len(ids) <= LITERAL_IDS:
+            return docs.where(F.col(cluster_col).isin(ids))
+    table = _id_table(docs, ids, cluster_col).where(F.col(cluster_col).isNotNull())
+    return docs.join(small(table), cluster_col, "left_semi")
 
 
 def fill_outliers(docs: DataFrame, cluster_col: str = "cluster") -> DataFrame:
@@ -44,14 +67,25 @@ def remap_clusters(
     return joined.withColumn(cluster_col, value).drop("_new")
 
 
-def merge_topics(docs: DataFrame, groups: list, topic_col: str = "topic") -> DataFrame:
-    """Collapse each listed group into its first id; accepts one list or a list of lists."""
-    if groups and not isinstance(groups[0], (list, tuple)):
-        groups = [groups]
-    pairs = {old: group[0] for group in groups for old in group[1:]}
-    if not pairs:
-        return docs
-    target = F.create_map(*[F.lit(v) for pair in pairs.items() for v in pair])
-    return docs.withColumn(
-        topic_col, F.coalesce(F.try_element_at(target, F.col(topic_col)), F.col(topic_col))
-    )
+def merge_topics(docs: DataFrame, groups, topic_col: str = "topic") -> DataFrame:
+    """Collapse each listed group into its first id; accepts one list, a list of lists, or a
+    mapping table (old, new) whose first two columns say where each old id goes.
+
+    The groups become a mapping table that is joined (broadcast when counted small), so the
+    number of merged ids is not bounded by the plan.  An id listed in two groups follows the
+    later one; in a table, an old id with several targets goes to the smallest.
+    """
+    if isinstance(groups, DataFrame):
+        old, new = groups.columns[:2]
+        mapping = groups.groupBy(F.col(old).alias("_old")).agg(F.min(new).alias("_new"))
+    else:
+        if groups and not isinstance(groups[0], (list, tuple)):
+            groups = [groups]
+        pairs = {old: group[0] for group in groups for old in group[1:]}
+        if not pairs:
+            return docs
+        kind = docs.schema[topic_col].dataType.simpleString()
+        mapping = docs.sparkSession.createDataFrame(list(pairs.items()), f"_old {kind}, _new {kind}")
+    mapping = mapping.where(F.col("_old").isNotNull())
+    joined = docs.join(small(mapping), docs[topic_col] == mapping["_old"], "left")
+    return joined.withColumn(topic_col, F.coalesce(F.col("_new"), F.col(topic_col))).drop("_old", "_new")
\ No newline at end of file
