@@ -107,3 +107,22 @@ def test_ordered_positions(spark):
         ((k, o) for k, o, _ in rows), key=lambda x: (x[0], -x[1])
     )
     assert sorted(r.n for r in numbered) == list(range(1000))
+
+
+def test_mean_pool_running_sum_equals_numpy(spark):
+    import numpy as np
+
+    from topicloom.functions.vectors import mean_pool
+
+    rnd = np.random.default_rng(1)
+    rows = []
+    for i in range(30):
+        t = rnd.normal(size=(int(rnd.integers(1, 9)), 64))
+        m = rnd.integers(0, 2, size=len(t)).astype(float)
+        rows.append((i, t.tolist(), m.tolist()))
+    df = spark.createDataFrame(rows, "id long, tokens array<array<double>>, mask array<double>")
+    got = {r.id: r.v for r in df.select("id", mean_pool(F.col("tokens"), F.col("mask")).alias("v")).collect()}
+    for i, t, m in rows:
+        t, m = np.array(t), np.array(m)
+        want = (t * m[:, None]).sum(axis=0) / max(m.sum(), 1e-9)
+        assert np.allclose(got[i], want)

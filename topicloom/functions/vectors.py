@@ -42,12 +42,13 @@ def xy(v: Column) -> list[Column]:
 
 
 def mean_pool(token_vectors: Column, mask: Column) -> Column:
-    """Mean of the unmasked token vectors; the divisor is at least 1e-9."""
-    kept = F.aggregate(mask, F.lit(0.0), lambda acc, m: acc + m)
-    dims = F.sequence(F.lit(0), F.size(F.get(token_vectors, F.lit(0))) - 1)
-
-    def component(i: Column) -> Column:
-        parts = F.zip_with(token_vectors, mask, lambda t, m: F.get(t, i) * m)
-        return F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x) / F.greatest(kept, F.lit(1e-9))
+    """Mean of the unmasked token vectors; the divisor is at least 1e-9.
 
-    return F.transform(dims, component)
+    One running vector sum: the fold's state is the vector, each token adds its
+    masked vector to it, so the plan holds no array per output dimension.
+    """
+    kept = F.aggregate(mask, F.lit(0.0), lambda acc, m: acc + m)
+    zero = F.array_repeat(F.lit(0.0), F.size(F.get(token_vectors, F.lit(0))))
+    rows = F.arrays_zip(token_vectors.alias("t"), mask.alias("m"))
+    total = F.aggregate(rows, zero, lambda acc, e: F.zip_with(acc, e["t"], lambda a, x: a + x * e["m"]))
+    return F.transform(total, lambda x: x / F.greatest(kept, F.lit(1e-9)))
