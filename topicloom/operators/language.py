@@ -7,8 +7,6 @@ a document is local to its row.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pandas as pd
 import regex
@@ -43,33 +41,53 @@ def train_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     )
 
 
+def _code(points: np.ndarray) -> np.ndarray:
+    """Integer code of every trigram of a code-point array (21 bits a code point)."""
+    if len(points) < 3:
+        return np.zeros(0, dtype=np.uint64)
+    return (points[:-2] << np.uint64(42)) | (points[1:-1] << np.uint64(21)) | points[2:]
+
+
 def detected(text: Column, profiles: DataFrame) -> Column:
     """Struct of ``language`` and ``score``: the language with the largest summed weight.
 
     Row-local, in Arrow batches; a tie goes to the first language by name.  A text without
     any listed trigram has a null language.  The profiles have a fixed number of rows per
-    language, so they are held in every task.
+    language, so they are held in every task, as sorted integer trigram codes: a text
+    becomes a code-point array, its trigrams integer codes, counted by ``np.unique`` and
+    looked up by one ``searchsorted``, without a Python loop over characters.
     """
     languages = sorted(r["lang"] for r in profiles.select("lang").distinct().collect())
-    table: dict[str, np.ndarray] = {}
-    for row in profiles.collect():
-        table.setdefault(row["gram"], np.zeros(len(languages)))[languages.index(row["lang"])] = row["weight"]
-    shared = profiles.sparkSession.sparkContext.broadcast(table)
+    # A fixed number of rows per language.  Grams are UTF-16 triples in the JVM; one with a
+    # character beyond the basic plane is not three code points and can match no text here.
+    rows = [r for r in profiles.collect() if len(r["gram"]) == 3]
+    grams = sorted({r["gram"] for r in rows})
+    weights = np.zeros((len(grams), len(languages)))
+    where = {g: i for i, g in enumerate(grams)}
+    for row in rows:
+        weights[where[row["gram"]], languages.index(row["lang"])] = row["weight"]
+    codes = np.array([_code(np.array([ord(c) for c in g], dtype=np.uint64))[0] for g in grams], dtype=np.uint64)
+    order = np.argsort(codes)
+    shared = profiles.sparkSession.sparkContext.broadcast((codes[order], weights[order]))
     other = regex.compile(r"[^\p{L}]+")
 
     @F.pandas_udf("language string, score double")
     def best(texts: pd.Series) -> pd.DataFrame:
-        weights, out = shared.value, []
+        keys, table = shared.value
+        out = []
         for value in texts:
             letters = f" {other.sub(' ', value or '').lower()} "
-            counts = Counter(map("".join, zip(letters, letters[1:], letters[2:])))
-            hits = [(weights[g], n) for g, n in counts.items() if g in weights]
-            if not hits:
+            points = np.frombuffer(letters.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+            found, n = np.unique(_code(points), return_counts=True)
+            at = np.minimum(np.searchsorted(keys, found), max(len(keys) - 1, 0))
+            hit = keys[at] == found if len(keys) else np.zeros(len(found), dtype=bool)
+            if not hit.any():
                 out.append((None, None))
                 continue
+            w, k = table[at[hit]], n[hit][:, None]
+            total = (w * k).sum(axis=0)
             # A weight of zero means the language does not list the trigram.
-            total = sum(w * n for w, n in hits)
-            listed = sum((w != 0) * n for w, n in hits) > 0
+            listed = ((w != 0) * k).sum(axis=0) > 0
             total = np.where(listed, total, -np.inf)
             out.append((languages[int(total.argmax())], float(total.max())))
         return pd.DataFrame(out, columns=["language", "score"])
