@@ -92,6 +92,8 @@ class Tokenizers:
         ]
         self.b_bytes = [piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         self.a_flat, self.b_flat = _flat(self.a_bytes), _flat(self.b_bytes)
+        top = max(len(self.a_bytes), len(self.b_bytes))
+        self.decimal = _flat([str(i).encode() for i in range(top)])  # ids as decimal text
         self.a_len, self.b_len = self.a_flat[2], self.b_flat[2]
 
     def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
@@ -177,27 +179,27 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.searchsorted(ends_a, union), np.searchsorted(ends_b, union)
 
 
-def _digits(x: np.ndarray) -> np.ndarray:
-    out = np.ones(len(x), dtype=np.int64)
-    for power in (10, 100, 1_000, 10_000, 100_000, 1_000_000):
-        out += x >= power
-    return out
+def groups_text(a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray, decimal) -> bytes:
+    """``a1,a2|b1;a3|b2,b3``: per group its A ids, then its B ids, in token order.
 
-
-def groups_text(a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray) -> bytes:
-    """``a1,a2|b1;a3|b2,b3``: per group its A ids, then its B ids, in token order."""
+    The ids are written by gathering their decimal text from ``decimal`` (see ``_flat``).
+    """
     ga = np.searchsorted(a_cut, np.arange(len(a)), side="right")
     gb = np.searchsorted(b_cut, np.arange(len(b)), side="right")
     b_before = np.concatenate(([0], b_cut[:-1]))
     seq = np.empty(len(a) + len(b), dtype=np.int64)
     seq[b_before[ga] + np.arange(len(a))] = a
     seq[a_cut[gb] + np.arange(len(b))] = b
-    buf = bytearray(",".join(map(str, seq.tolist())).encode())
-    marks = np.frombuffer(buf, dtype=np.uint8)
-    after = np.cumsum(_digits(seq) + 1) - 1  # separator after each element
-    marks[after[a_cut + b_before - 1]] = ord("|")
-    marks[after[(a_cut + b_cut - 1)[:-1]]] = ord(";")
-    return bytes(buf)
+    data, starts, lengths = decimal
+    lens = lengths[seq]
+    start = np.cumsum(lens + 1) - (lens + 1)  # of each id in the text
+    out = np.full(int(lens.sum()) + len(seq), ord(","), dtype=np.uint8)
+    inner = np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
+    out[np.repeat(start, lens) + inner] = data[np.repeat(starts[seq], lens) + inner]
+    after = start + lens  # separator after each id
+    out[after[a_cut + b_before - 1]] = ord("|")
+    out[after[(a_cut + b_cut - 1)[:-1]]] = ord(";")
+    return out[:-1].tobytes()
 
 
 def document(tok: Tokenizers, a: np.ndarray, b: np.ndarray):
@@ -207,11 +209,18 @@ def document(tok: Tokenizers, a: np.ndarray, b: np.ndarray):
     pa_, pb_ = links(ends_a, ends_b)
     keys = a[pa_] * (1 << 20) + b[pb_]
     uniq, mult = np.unique(keys, return_counts=True)
-    digest = hashlib.sha256(groups_text(a, b, a_cut, b_cut)).hexdigest()
+    digest = hashlib.sha256(groups_text(a, b, a_cut, b_cut, tok.decimal)).hexdigest()
     return len(a_cut), len(pa_), digest, uniq >> 20, uniq & ((1 << 20) - 1), mult
 
 
-LINK = pa.list_(pa.int64())
+EMPTY = np.zeros(0, dtype=np.int64)
+
+
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    """One Arrow list per document, built from the numpy arrays without Python ints."""
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in parts]))).astype(np.int32)
+    values = np.concatenate(parts).astype(np.int64) if parts else EMPTY
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
 def _slices(batches):
@@ -229,18 +238,18 @@ def _aligned(a_path: str, b_path: str):
             cols = {k: [] for k in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "_la", "_lb", "_lm")}
             for pair in tok.tokens(texts):
                 if pair is None:
-                    figures = (0, 0, 0, 0, "", [], [], [])
+                    figures = (0, 0, 0, 0, "", EMPTY, EMPTY, EMPTY)
                 else:
                     a, b = pair
                     groups, links, digest, la, lb, lm = document(tok, a, b)
-                    figures = (len(a), len(b), groups, links, digest, la.tolist(), lb.tolist(), lm.tolist())
+                    figures = (len(a), len(b), groups, links, digest, la, lb, lm)
                 for k, v in zip(cols, figures):
                     cols[k].append(v)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), batch.column("_row")]
                 + [pa.array(cols[k], pa.int64()) for k in ("n_a", "n_b", "n_groups", "n_links")]
                 + [pa.array(cols["groups_sha256"], pa.string())]
-                + [pa.array(cols[k], LINK) for k in ("_la", "_lb", "_lm")],
+                + [_lists(cols[k]) for k in ("_la", "_lb", "_lm")],
                 names=["_id", "_row", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "_la", "_lb", "_lm"],
             )
 
