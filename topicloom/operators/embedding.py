@@ -17,27 +17,29 @@ from topicloom.functions.text import TOKEN_PATTERN
 from topicloom.functions.vectors import normalise
 
 
+_BUCKETS: dict[int, dict[str, int]] = {}
+
+
 def hashed_vector(text: Column, dim: int = 64) -> Column:
     """Unit vector of word counts in ``dim`` hash buckets; without a word, all zero.
 
-    Row-local, in Arrow batches: no shuffle, however many buckets.
+    Row-local, in Arrow batches: no shuffle, however many buckets.  Each Python worker
+    keeps the bucket of every word it has met; a batch hashes only its new words and
+    counts all its rows at once with one ``bincount`` over (row, bucket).
     """
     pattern = regex.compile(TOKEN_PATTERN)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def embed(texts: pd.Series) -> pd.Series:
-        known: dict[str, int] = {}
-        out = []
-        for value in texts:
-            buckets = []
-            for term in pattern.findall((value or "").lower()):
-                bucket = known.get(term)
-                if bucket is None:
-                    bucket = known[term] = int(md5(term.encode()).hexdigest()[:8], 16) % dim
-                buckets.append(bucket)
-            counts = np.bincount(np.array(buckets, dtype=np.int64), minlength=dim).astype(float)
-            out.append(counts / max(np.sqrt((counts**2).sum()), 1e-12))
-        return pd.Series(out)
+        known = _BUCKETS.setdefault(dim, {})  # kept by the Python worker across batches
+        words = [pattern.findall((value or "").lower()) for value in texts]
+        for term in {t for terms in words for t in terms} - known.keys():
+            known[term] = int(md5(term.encode()).hexdigest()[:8], 16) % dim
+        rows = np.repeat(np.arange(len(words)), [len(terms) for terms in words])
+        buckets = np.fromiter((known[t] for terms in words for t in terms), dtype=np.int64, count=len(rows))
+        counts = np.bincount(rows * dim + buckets, minlength=len(words) * dim).reshape(len(words), dim)
+        norms = np.maximum(np.sqrt((counts.astype(float) ** 2).sum(axis=1)), 1e-12)
+        return pd.Series(list(counts / norms[:, None]))
 
     return embed(text)
 
