@@ -226,12 +226,13 @@ def _license_sql() -> str:
         matched = f"replace({matched}, '{''.join(f' {i} ' for i in run)}', ' ={name} ')"
     return f"""
 WITH parts AS (
-  SELECT row_number() OVER () AS rn, doc_id, CASE WHEN regexp_matches(text, '(?i){licenses.VOCABULARY}') THEN
+  SELECT row_number() OVER () AS rn, doc_id, CASE WHEN regexp_matches(text, '(?i){licenses.GATE}') THEN
     list_filter(string_split(regexp_replace(text, '([.;!?])\\s+|\\n\\s*\\n', '\\1' || chr(1), 'g'), chr(1)),
-      lambda x: regexp_matches(x, '(?i){licenses.VOCABULARY}')) ELSE [] END AS p FROM documents),
+      lambda x: regexp_matches(x, '(?i){licenses.GATE}')) ELSE [] END AS p FROM documents),
 named AS (
   SELECT doc_id, list_filter(list_transform(list_transform(p, lambda x:
-      trim(regexp_replace(lower(x), '[^a-z0-9.+/-]+|[.]+(?: |$)|(?:^| )[./*#-]+(?: |$)', ' ', 'g'))),
+      regexp_replace(trim(regexp_replace(lower(x), '[^a-z0-9.+/-]+|[.]+(?: |$)|(?:^| )[./*#-]+(?: |$)', ' ', 'g')),
+        '(cc|commons)-(by|attribution)', '\\1 \\2', 'g')),
     lambda s: CASE {cases} END), lambda x: x IS NOT NULL) AS ids FROM parts),
 done AS (SELECT doc_id, ids, list_filter(regexp_split_to_array({matched}, ' +'), lambda x: x <> '') AS items FROM named)
 SELECT doc_id, array_to_string(ids, ' ') AS sentences,

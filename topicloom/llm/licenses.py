@@ -14,11 +14,6 @@ from pyspark.sql import functions as F
 
 from topicloom.llm.text import inputs, let
 
-# Gate of the SQL counterpart, left as it is: narrower than the sentences below.
-VOCABULARY = (
-    "licen[sc]e|copyright|permission|redistribut|warrant|spdx|public domain|creative commons|"
-    "cc[- ]by|cc0|as is|liable|copyleft|merchantab|endorse"
-)
 # Gate of the scan, over raw text: each pattern of SENTENCES needs one of these words.  A space of
 # the normalised text stands for a run of other signs here, line breaks too.
 GATE = (
