@@ -177,6 +177,12 @@ def density_labels_epsilon(spark, folder):
     return hdbscan(vectors(spark, folder), 3, 1, cluster_selection_epsilon=0.99)
 
 
+@query("g7_hdbscan_samples", f"WITH RECURSIVE {reach_sql(2)}, {PRIM}, {labels_sql(5)} SELECT id, label FROM labels")
+def density_labels_samples(spark, folder):
+    """Density labels on core distances (two samples), ties of the tree by (w, lo, hi)."""
+    return hdbscan(vectors(spark, folder), min_cluster_size=5, min_samples=2)
+
+
 # All with one sample, where the tree is unique.
 SEARCH = {"min_samples": [1], "min_cluster_size": [3, 4, 5], "cluster_selection_epsilon": [0.0, 0.99]}
 
