@@ -183,6 +183,12 @@ def density_labels_samples(spark, folder):
     return hdbscan(vectors(spark, folder), min_cluster_size=5, min_samples=2)
 
 
+@query("g8_hdbscan_epsilon_samples", f"WITH RECURSIVE {reach_sql(2)}, {PRIM}, {labels_sql(4, 1.0)} SELECT id, label FROM labels")
+def density_labels_epsilon_samples(spark, folder):
+    """Selection with an epsilon of 1.0 on core distances of two samples."""
+    return hdbscan(vectors(spark, folder), 4, 2, cluster_selection_epsilon=1.0)
+
+
 # All with one sample, where the tree is unique.
 SEARCH = {"min_samples": [1], "min_cluster_size": [3, 4, 5], "cluster_selection_epsilon": [0.0, 0.99]}
 
