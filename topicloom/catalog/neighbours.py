@@ -230,3 +230,31 @@ def placed(spark, folder):
 @query("a14_density_grid", f"WITH {_FLAT} SELECT CAST(floor(x) AS BIGINT) AS gx, CAST(floor(y) AS BIGINT) AS gy, count(*) AS cnt FROM flat WHERE x BETWEEN -20 AND 20 AND y BETWEEN -20 AND 20 GROUP BY ALL")
 def grid(spark, folder):
     return views.density_grid(flat(spark, folder))
+
+
+_LIST_VOTES = """, means AS (
+  SELECT topic, list(m ORDER BY pos) AS c FROM (
+    SELECT topic, pos, avg(vec[pos]) AS m FROM (SELECT topic, vec, unnest(range(1, 65)) AS pos FROM emb) GROUP BY topic, pos)
+  GROUP BY topic),
+routes AS (SELECT e.id, m.topic AS cell, row_number() OVER (PARTITION BY e.id ORDER BY list_distance(e.vec, m.c), m.topic) AS r
+  FROM emb e, means m),
+near AS (
+  SELECT src, dst, dist, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rank FROM (
+    SELECT DISTINCT q.id AS src, t.id AS dst, power(list_distance(a.vec, b.vec), 2) AS dist
+    FROM routes q JOIN routes t ON t.cell = q.cell AND q.r <= 3 AND t.r = 1 JOIN emb a ON a.id = q.id JOIN emb b ON b.id = t.id
+    WHERE a.topic = -1 AND b.topic <> -1)),
+votes AS (
+  SELECT n.src, e.topic, count(*) AS c, min(n.rank) AS r FROM near n JOIN emb e ON e.id = n.dst
+  WHERE n.rank <= 10 AND n.dist <= 1.3 GROUP BY n.src, e.topic),
+voted AS (SELECT src, topic FROM (
+  SELECT src, topic, row_number() OVER (PARTITION BY src ORDER BY c DESC, r) AS p FROM votes) WHERE p = 1)"""
+
+
+@query(
+    "g13_reduce_outliers_lists",
+    f"WITH {VECTORS}{_LIST_VOTES} SELECT e.id, coalesce(v.topic, e.topic) AS topic FROM emb e LEFT JOIN voted v ON v.src = e.id",
+)
+def reduce_outliers_lists(spark, folder):
+    """Outlier reduction by approximate neighbours: inverted lists of the topic means, three probed."""
+    rows = vectors(spark, folder)
+    return outliers.reassign_by_neighbours(rows, threshold=-0.3, approximate=True, n_probe=3, centres=topic_means(rows))
