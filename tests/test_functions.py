@@ -126,3 +126,21 @@ def test_mean_pool_running_sum_equals_numpy(spark):
         t, m = np.array(t), np.array(m)
         want = (t * m[:, None]).sum(axis=0) / max(m.sum(), 1e-9)
         assert np.allclose(got[i], want)
+
+
+def test_leading_bytes_keeps_genuine_replacement_mark(spark):
+    import random
+
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice(["a", "é", "€", "😀", "�"]) for _ in range(rnd.randint(0, 12))) for _ in range(200)]
+    texts.append("ab�cdef")
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for limit in (1, 3, 5, 7):
+        got = [r[0] for r in df.select(leading_bytes(F.col("t"), limit)).collect()]
+        for t, g in zip(texts, got):
+            want = ""
+            for c in t:
+                if len((want + c).encode()) > limit:
+                    break
+                want += c
+            assert g == want, (t, limit)

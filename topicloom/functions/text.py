@@ -57,11 +57,17 @@ def clean_label(label: Column) -> Column:
 
 
 def leading_bytes(text: Column, limit: int) -> Column:
-    """The longest character prefix that fits into ``limit`` UTF-8 bytes."""
-    head = F.substring(F.encode(text, "UTF-8"), 1, limit).cast("string")
-    # A cut inside a character leaves a replacement mark at the end.
-    whole = F.regexp_replace(F.make_valid_utf8(head), "\ufffd+$", "")
-    return F.when(F.octet_length(text) <= limit, text).otherwise(whole)
+    """The longest character prefix that fits into ``limit`` UTF-8 bytes.
+
+    The first ``limit`` bytes are decoded; if the next byte continues a character, that
+    character was cut and its replacement mark at the end is not counted.  A genuine
+    U+FFFD of the text stays.
+    """
+    data = F.encode(text, "UTF-8")
+    decoded = F.length(F.make_valid_utf8(F.substring(data, 1, limit).cast("string")))
+    following = F.conv(F.hex(F.substring(data, limit + 1, 1)), 16, 10).cast("int")
+    cut = F.coalesce((F.shiftright(following, 6) == 2).cast("int"), F.lit(0))  # 10xxxxxx
+    return F.when(F.octet_length(text) <= limit, text).otherwise(text.substr(F.lit(1), decoded - cut))
 
 
 def tokens(text: Column) -> Column:
