@@ -236,3 +236,14 @@ def test_subset_and_merge_with_100000_ids(spark):
     mapping = spark.createDataFrame([(1, 0), (1, 7), (3, 2)], "old long, new long")
     small_docs = spark.createDataFrame([(0, 1), (1, 3), (2, None)], "id long, topic long")
     assert sorted(map(tuple, refine.merge_topics(small_docs, mapping).collect())) == [(0, 0), (1, 2), (2, None)]
+
+
+def test_default_labels_do_not_depend_on_the_template(spark):
+    info = spark.createDataFrame(
+        [(0, 5, "0_a_b", ["alpha", "beta", "gamma", "delta"]), (1, 2, "1", [])],
+        "topic int, cnt long, name string, representation array<string>",
+    )
+    titled = spark.createDataFrame([(1, "A title", 0), (2, "Other", 1)], "id long, title string, topic int")
+    for template in (labels.TOPIC_TEMPLATE, "Words {keywords} / {titles}"):
+        got = {r.topic: r.llm_topic for r in labels.label_topics(info, titled, template=template).collect()}
+        assert got == {0: "alpha beta gamma", 1: ""}

@@ -98,7 +98,13 @@ def label_topics(
 ) -> DataFrame:
     """Topic table with ``titles_sample`` and the cleaned label ``llm_topic``."""
     prompts = topic_prompts(info, sample_titles(titled, n_titles, random_state), template)
-    answered = run_labels(prompts, label_fn, **options)
+    if label_fn is first_keywords:
+        # The default needs no model: its keywords come from the representation, not the prompt,
+        # so any template works and no Python worker runs.
+        keywords = F.slice(F.coalesce("representation", F.array().cast("array<string>")), 1, 3)
+        answered = prompts.withColumn("answer", F.trim(F.array_join(keywords, " ")))
+    else:
+        answered = run_labels(prompts, label_fn, **options)
     return answered.withColumn("llm_topic", clean_label(F.col("answer"))).select(
         *info.columns, "titles_sample", "llm_topic"
     )
