@@ -69,9 +69,20 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens and the token ids (little-endian unsigned 32-bit) of every row."""
+    """doc_id, source, n_tokens and the token ids (little-endian unsigned 32-bit) of every row.
+
+    The ids are decoded again as well; ids that do not read back are an error.
+    """
     ship(spark)
-    return bpe_automaton.encode_decode(docs, TOKENIZER, carry=("source",), decoded=False).drop("decoded")
+    return read_back(bpe_automaton.encode_decode(docs, TOKENIZER, carry=("source",)))
+
+
+def read_back(found: DataFrame) -> DataFrame:
+    """The rows without ``decoded``; an error where it does not hold one label for every id."""
+    labels = F.when(F.col("decoded") == "", 0).otherwise(F.size(F.split("decoded", " ")))
+    wrong = F.raise_error(F.concat(F.lit("ids do not read back: "), F.coalesce(F.hex("ids"), F.lit("null"))))
+    ids = F.when(F.coalesce(labels == F.col("n_tokens"), F.lit(False)), F.col("ids")).otherwise(wrong.cast("binary"))
+    return found.withColumn("ids", ids).drop("decoded")
 
 
 STAGES = [

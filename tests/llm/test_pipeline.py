@@ -79,3 +79,26 @@ def test_edges_through_every_stage(spark, edge_docs, no_docs, number):
     columns = list(pipeline.COLUMNS) if number < 4 else ["doc_id", "source", "n_tokens", "ids"]
     assert out.columns == columns and out.count() > 0
     assert stage(spark, no_docs, FOLDER).count() == 0
+
+
+def test_tokens_are_decoded_and_read_back(spark, edge_docs, monkeypatch):
+    asked = []
+    encode_decode = pipeline.bpe_automaton.encode_decode
+
+    def spied(*args, **options):
+        asked.append(encode_decode(*args, **options))
+        return asked[-1]
+
+    monkeypatch.setattr(pipeline.bpe_automaton, "encode_decode", spied)
+    pipeline.tokens(spark, edge_docs, FOLDER).collect()
+    library = Tokenizer.from_file(pipeline.TOKENIZER)
+    rows = asked[0].collect()
+    assert rows
+    for row in rows:
+        ids = np.frombuffer(row["ids"], "<u4").tolist()
+        assert row["decoded"] == library.decode(ids, skip_special_tokens=False)
+    schema = "doc_id long, source string, n_tokens long, ids binary, decoded string"
+    for decoded in (None, "", "a b"):
+        short = spark.createDataFrame([(1, "s", 1, b"\x01\x00\x00\x00", decoded)], schema)
+        with pytest.raises(Exception, match="read back"):
+            pipeline.read_back(short).collect()
