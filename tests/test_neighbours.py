@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from topicloom.operators import neighbours
 from topicloom.operators.neighbours import as_lists, from_lists, knn_exact, knn_lists
 
 
@@ -72,3 +73,38 @@ def test_list_columns_round_trip(spark, clouds):
     q, t = clouds
     edges = knn_exact(table(spark, q), table(spark, t), k=3)
     assert result(from_lists(as_lists(edges))) == result(edges)
+
+
+@pytest.mark.parametrize("scale", [1e-20, 1.0, 1e20])
+@pytest.mark.parametrize("copies", [False, True])
+def test_block_search_in_single_precision_is_exact(monkeypatch, scale, copies):
+    monkeypatch.setattr(neighbours, "TILE_ROWS", 16)
+    monkeypatch.setattr(neighbours, "TILE_COLS", 32)
+    rng = np.random.default_rng(3)
+    t = (rng.integers(0, 3, (150, 4)) if copies else rng.normal(size=(150, 4))) * scale
+    q = np.r_[t[:40], rng.normal(size=(20, 4)) * scale]
+    ids, t_ids = np.arange(60), rng.permutation(150)
+    d = ((q[:, None] - t[None]) ** 2).sum(-1)
+    bounds = np.sort(d, axis=1)[:, 25]
+    for bound in (None, bounds):
+        src, dst, dist = neighbours.block_search(ids, q, t_ids, t, 7, None, True, bound)
+        for i in ids:
+            near = sorted((x, j) for x, j in zip(d[i], t_ids) if j != i and (bound is None or x <= bound[i]))
+            assert dst[src == i].tolist() == [j for _, j in near[:7]]
+            assert np.allclose(dist[src == i], [x for x, _ in near[:7]], rtol=1e-12, atol=0)
+
+
+def test_bound_leaves_few_candidates_to_compare(monkeypatch):
+    rng = np.random.default_rng(4)
+    q, t = rng.normal(size=(64, 8)), rng.normal(size=(8192, 8))
+    compared = []
+
+    def counted(a, b, rows, cols):
+        compared.append(len(rows))
+        return exact(a, b, rows, cols)
+
+    exact = neighbours.exact_pairs
+    monkeypatch.setattr(neighbours, "exact_pairs", counted)
+    bounds = np.sort(((q[:, None] - t[None]) ** 2).sum(-1), axis=1)[:, 3]
+    src, _, _ = neighbours.block_search(np.arange(64), q, np.arange(8192), t, 10, None, False, bounds)
+    assert len(src) == 64 * 4 and sum(compared) <= 64 * 5

@@ -1,7 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from topicloom.operators import spanning
 from topicloom.operators.spanning import (
     components,
     density_cut,
@@ -98,3 +100,27 @@ def test_copies_hold_one_tile_of_memory():
     assert peak < 250e6
     got = {r["v"]: (r["w"], r["lo"], r["hi"]) for r in found.to_pylist()}
     assert got[0] == (0.0, 0, 1) and got[7] == (0.0, 0, 7) and len(got) == n
+
+
+def test_lightest_between_within_a_bound_matches_brute_force(monkeypatch):
+    monkeypatch.setattr(spanning, "TILE_ROWS", 16)
+    monkeypatch.setattr(spanning, "TILE_COLS", 32)
+    rng = np.random.default_rng(5)
+    for grid in (False, True):
+        q, t = ((rng.integers(0, 3, (n, 3)) if grid else rng.normal(size=(n, 3))).astype(float) for n in (70, 130))
+        q_core, t_core = rng.random(70), rng.random(130)
+        q_comp, t_comp = rng.integers(0, 5, 70), rng.integers(0, 5, 130)
+        w = np.maximum(np.sqrt(((q[:, None] - t[None]) ** 2).sum(-1)), np.maximum(q_core[:, None], t_core[None]))
+        best = {}
+        for i in range(70):
+            for j in range(130):
+                if q_comp[i] != t_comp[j]:
+                    edge = (w[i, j], i, 100 + j, t_comp[j])
+                    best[q_comp[i]] = min(best.get(q_comp[i], edge), edge)
+        bound = np.array([best[c][0] for c in q_comp])
+        for limit in (bound, 2 * bound, np.full(70, np.inf)):
+            left = pa.table({"id": np.arange(70), "vec": list(q), "core": q_core, "comp": q_comp, "bound": limit})
+            right = pa.table({"id": np.arange(100, 230), "vec": list(t), "core": t_core, "comp": t_comp})
+            for row in spanning._lightest_between(left, right).to_pylist():
+                edge = best[row["v"]]
+                assert (row["lo"], row["hi"], row["other"]) == edge[1:] and abs(row["w"] - edge[0]) < 1e-12

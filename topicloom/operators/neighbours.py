@@ -30,6 +30,10 @@ MAX_CENTRE_BYTES = 256 << 20
 BLOCK_ROWS = 8_192
 # Distance-matrix entries computed at a time inside a task.
 _TILE = 1 << 21
+# Those of a tile in single precision, which should stay in the processor's cache.
+TILE_ROWS, TILE_COLS = 512, 2_048
+# Largest block of an exact search; a vector is sent to every block it may have a neighbour in.
+MOST_ROWS, MOST_BYTES = 32_768, 16 << 20
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -71,34 +75,142 @@ def block_search(
     k: int,
     max_dist: float | None,
     exclude_self: bool,
+    bounds: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """k nearest train rows for each query of one block pair, ordered (dist, id)."""
+    """k nearest train rows for each query of one block pair, ordered (dist, id).
+
+    Only rows within ``bounds`` (a squared distance per query) are returned.  Products in
+    single precision name the candidates, with room for their rounding; distances in double
+    precision decide.
+    """
     order = np.argsort(t_ids, kind="stable")
     t_ids, t = t_ids[order], t[order]
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    caps = np.full(len(q), np.inf) if bounds is None else bounds.astype(float)
+    if max_dist is not None:
+        caps = np.minimum(caps, max_dist)
+    search = _single if fits(q) and fits(t) else _double
+    found = search(q_ids, q, t_ids, t, k, caps, exclude_self)
+    return tuple(np.concatenate(part) for part in zip(*found))
+
+
+def fits(a: np.ndarray) -> bool:
+    """All numbers are finite and their squares far from the largest one."""
+    return bool((np.abs(a) < 1e100).all())
+
+
+class Scores:
+    """Squared distances up to a constant per query, in single precision.
+
+    Centred and scaled, |a - b|^2 - |a|^2 is one product of the rows (-2a, 1) and (b, |b|^2).
+    ``error`` bounds its rounding per query, ``lift`` is the constant (both in scaled units).
+    """
+
+    def __init__(self, q: np.ndarray, t: np.ndarray):
+        centre = t.mean(0)
+        q, t = q - centre, t - centre
+        self.scale = max(np.sqrt((q * q).sum(1)).max(), np.sqrt((t * t).sum(1)).max()) or 1.0
+        q, t = q / self.scale, t / self.scale
+        self.lift, squares = (q * q).sum(1), (t * t).sum(1)
+        reach = np.sqrt(self.lift) + np.sqrt(squares.max())
+        dims = q.shape[1] + 8
+        far = np.sqrt((centre * centre).sum()) / self.scale + reach
+        self.error = dims * reach * (2.0**-22 * reach + 1e-15 * far) + 1e-30
+        self._q = np.c_[-2.0 * q, np.ones(len(q))].astype(np.float32)
+        self._t = np.c_[t, squares].astype(np.float32)
+
+    def tile(self, rows: slice, cols: slice) -> np.ndarray:
+        return self._q[rows] @ self._t[cols].T
+
+    def limits(self, caps: np.ndarray, rows: slice) -> np.ndarray:
+        """Scores that squared distances up to ``caps`` cannot exceed."""
+        scaled = caps / self.scale / self.scale
+        out = scaled * (1 + 1e-9) - self.lift[rows] + self.error[rows]
+        return np.nextafter(np.minimum(out, 1e30).astype(np.float32), np.float32(np.inf))
+
+
+def _single(q_ids, q, t_ids, t, k, caps, exclude_self):
+    scores = Scores(q, t)
+    for s in range(0, len(q), TILE_ROWS):
+        rows = slice(s, min(s + TILE_ROWS, len(q)))
+        part, own, cap = q[rows], q_ids[rows], caps[rows]
+        limit = scores.limits(cap, rows)
+        held, waiting = _nothing(), []
+
+        def settle():
+            r, c = (np.concatenate(x) for x in zip(*waiting))
+            if exclude_self:
+                other = own[r] != t_ids[c]
+                r, c = r[other], c[other]
+            dist = exact_pairs(part, t, r, c)
+            near = dist <= cap[r]
+            r, c, dist = (np.concatenate(x) for x in zip(held, (r[near], c[near], dist[near])))
+            ranked = np.lexsort((c, dist, r))
+            top = ranked[best_per_row(r[ranked], k)]
+            return r[top], c[top], dist[top]
+
+        for at in range(0, len(t), TILE_COLS):
+            cols = slice(at, min(at + TILE_COLS, len(t)))
+            d = scores.tile(rows, cols)
+            r, c = places(d <= limit[:, None])
+            # Of the rows with many candidates, the k-th smallest score lowers the limit.
+            many = np.flatnonzero(np.bincount(r, minlength=len(part)) > k + 1)
+            if len(many):
+                crowd = d[many]
+                if exclude_self:
+                    crowd[own[many][:, None] == t_ids[None, cols]] = np.inf
+                if crowd.shape[1] > k:
+                    kth = np.partition(crowd, k - 1, axis=1)[:, k - 1].astype(float)
+                    kth = np.where(np.isfinite(kth), kth + 2 * scores.error[rows][many], np.inf)
+                    kth = np.nextafter(kth.astype(np.float32), np.float32(np.inf))
+                    limit[many] = np.minimum(limit[many], kth)
+                    stays = d[r, c] <= limit[r]
+                    r, c = r[stays], c[stays]
+            waiting.append((r, c + at))
+            # Copies all tie: what waits never exceeds a tile by much.
+            if sum(len(w[0]) for w in waiting) > TILE_ROWS * TILE_COLS // 4:
+                held, waiting = settle(), []
+                full = np.flatnonzero(np.bincount(held[0], minlength=len(part)) == k)
+                last = np.searchsorted(held[0], full, side="right") - 1
+                kth = np.full(len(part), np.inf)
+                kth[full] = held[2][last]
+                cap = np.minimum(cap, kth)
+                limit = np.minimum(limit, scores.limits(cap, rows))
+        if waiting:
+            held = settle()
+        yield own[held[0]], t_ids[held[1]], held[2]
+
+
+def places(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.nonzero``, faster where little is set."""
+    return np.divmod(np.flatnonzero(mask), mask.shape[1])
+
+
+def _nothing():
+    return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+
+
+def _double(q_ids, q, t_ids, t, k, caps, exclude_self):
+    """The same in double precision: for numbers that are not finite or very large."""
     step = max(1, _TILE // len(t_ids))
     for s in range(0, len(q_ids), step):
-        part = q[s:s + step]
+        part, cap = q[s:s + step], caps[s:s + step]
         d = squared(part, t)
         if exclude_self:
             d[q_ids[s:s + step][:, None] == t_ids[None, :]] = np.inf
         limit = np.full(len(part), np.inf)
         if len(t_ids) > k:
             limit = np.partition(d, k - 1, axis=1)[:, k - 1]
-        if max_dist is not None:
-            limit = np.minimum(limit, max_dist)
+        limit = np.minimum(limit, cap)
         # The slack lets every tie through; exact distances then decide.
         mask = np.isfinite(d) & (d <= (limit + 1e-9 * (1.0 + limit))[:, None])
         rows, cols = np.nonzero(mask)
         dist = exact_pairs(part, t, rows, cols)
-        if max_dist is not None:
-            near = dist <= max_dist
-            rows, cols, dist = rows[near], cols[near], dist[near]
+        near = dist <= cap[rows]
+        rows, cols, dist = rows[near], cols[near], dist[near]
         ranked = np.lexsort((cols, dist, rows))
         rows, cols, dist = rows[ranked], cols[ranked], dist[ranked]
         top = best_per_row(rows, k)
-        found.append((q_ids[s + rows[top]], t_ids[cols[top]], dist[top]))
-    return tuple(np.concatenate(part) for part in zip(*found))
+        yield q_ids[s + rows[top]], t_ids[cols[top]], dist[top]
 
 
 def _chunk(id_col: str, count) -> F.Column:
@@ -199,7 +311,7 @@ def _search(
     def func(a: pa.Table, b: pa.Table) -> pa.Table:
         src, dst, dist = block_search(
             a["id"].to_numpy(), matrix(a["vec"]), b["id"].to_numpy(), matrix(b["vec"]),
-            k, max_dist, exclude_self,
+            k, max_dist, exclude_self, a["cap"].to_numpy() if "cap" in a.column_names else None,
         )
         return pa.table([src, dst, dist], names=["src", "dst", "dist"]).cast(empty.schema)
 
@@ -303,6 +415,15 @@ def to_cells_within(
     return _route(rows, centres, pick)
 
 
+def block_rows_for(points: DataFrame, n: int) -> int:
+    """Rows of a block: more for a larger table, within a bounded number of bytes."""
+    least = BLOCK_ROWS
+    if n <= 24 * least:
+        return least
+    dims = points.agg(F.max(F.size("vec"))).first()[0] or 1
+    return max(least, min(-(-n // 24), MOST_ROWS, MOST_BYTES // (8 * max(dims, 1))))
+
+
 def knn_exact(
     queries: DataFrame,
     train: DataFrame,
@@ -311,14 +432,18 @@ def knn_exact(
     vector_col: str = "vec",
     max_dist: float | None = None,
     exclude_self: bool = False,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Exact (src, dst, rank, dist) with squared Euclidean distance.
 
-    ``max_dist`` drops farther neighbours inside the block search already.
+    ``max_dist`` drops farther neighbours inside the block search already.  Blocks grow with
+    the table up to a bound, as every vector is copied to every block it may have to meet.
     """
     q, t = _points(queries, id_col, vector_col), _points(train, id_col, vector_col)
-    n_cells = min(-(-t.count() // block_rows), 1024)
+    n = t.count()
+    if block_rows is None:
+        block_rows = block_rows_for(t, n)
+    n_cells = min(-(-n // block_rows), 1024)
     if n_cells <= 1:
         return nearest(_search(q, t, k, max_dist, exclude_self, block_rows, cells=False), k)
 
@@ -332,18 +457,17 @@ def knn_exact(
         "knn-first",
     )
     # The k-th distance so far; no bound yet where fewer than k were found.
-    bounds = first.where(F.col("rank") == k).select(
-        F.col("src").alias("id"), F.sqrt("dist").alias("bound")
-    )
-    cap = float("inf") if max_dist is None else max_dist ** 0.5
+    bounds = first.where(F.col("rank") == k).select(F.col("src").alias("id"), F.col("dist").alias("cap"))
+    cap = float("inf") if max_dist is None else float(max_dist)
     bounded = (
         own.withColumnRenamed("cell", "own")
         .join(bounds, "id", "left")
-        .withColumn("bound", F.coalesce("bound", F.lit(cap)))
+        .withColumn("cap", F.coalesce("cap", F.lit(cap)))
+        .withColumn("bound", F.sqrt("cap"))
     )
     rest = keep(
         to_cells_within(bounded, centres, cell_radii(celled, len(centres)), skip="own")
-        .select("id", "vec", "cell"),
+        .select("id", "vec", "cell", "cap"),
         "knn-routed",
     )
     more = _search(rest, celled.drop("radius"), k, max_dist, exclude_self, block_rows, True)

@@ -14,6 +14,8 @@ themselves to it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,12 +23,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicloom.operators.neighbours import (
-    BLOCK_ROWS,
+    TILE_COLS,
+    TILE_ROWS,
+    Scores,
+    block_rows_for,
     cell_radii,
     exact_pairs,
+    fits,
     knn_exact,
     matrix,
     pair_blocks,
+    places,
     sample_centres,
     squared,
     to_cells_within,
@@ -193,7 +200,7 @@ def spanning_tree(
     id_col: str = "id",
     vector_col: str = "vec",
     knn: DataFrame | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Exact minimum spanning tree (lo, hi, w) of the mutual reachability distance.
 
@@ -220,11 +227,11 @@ def spanning_tree(
 class _ForeignSearch:
     """Completes a round's picks with edges the neighbour graph does not hold."""
 
-    def __init__(self, points: DataFrame, scalars: DataFrame, block_rows: int):
-        self.block_rows = block_rows
+    def __init__(self, points: DataFrame, scalars: DataFrame, block_rows: int | None):
         self.scalars = scalars
         self.n = points.count()
-        n_cells = min(max(-(-self.n // block_rows), 1), 1024)
+        self.block_rows = block_rows or block_rows_for(points, self.n)
+        n_cells = min(max(-(-self.n // self.block_rows), 1), 1024)
         self.centres = sample_centres(points, n_cells)
         celled = to_nearest_cells(points, self.centres, with_distance=True)
         self.rows = keep(celled.join(scalars.select("id", "core"), "id"), "celled")
@@ -270,10 +277,10 @@ class _ForeignSearch:
             "id", "vec", "core", "comp", F.coalesce("bound", F.lit(float("inf"))).alias("bound")
         )
         if len(self.centres) == 1:
-            routed = queries.drop("bound").withColumn("cell", F.lit(0))
+            routed = queries.withColumn("cell", F.lit(0))
             train = self.rows
         else:
-            routed = keep(to_cells_within(queries, self.centres, self.radii).drop("bound"), "routed")
+            routed = keep(to_cells_within(queries, self.centres, self.radii), "routed")
             cells = routed.select("cell").distinct()
             train = self.rows.join(F.broadcast(cells), "cell")  # at most 1024 cells
         train = train.select("id", "vec", "core", "cell").join(comp, "id")
@@ -325,7 +332,10 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 
 
 def _lightest_between(a: pa.Table, b: pa.Table) -> pa.Table:
-    """Lightest mutual-reachability edge to a foreign component, per component of ``a``."""
+    """Lightest mutual-reachability edge to a foreign component, per component of ``a``.
+
+    Edges above the component's ``bound`` need not be found.
+    """
     q, t = matrix(a["vec"]), matrix(b["vec"])
     q_id, t_id = a["id"].to_numpy(), b["id"].to_numpy()
     q_core, t_core = a["core"].to_numpy(), b["core"].to_numpy()
@@ -343,21 +353,18 @@ def _lightest_between(a: pa.Table, b: pa.Table) -> pa.Table:
         head = ranked[np.r_[True, np.diff(group[rows[ranked]]) != 0]] if len(ranked) else ranked
         return rows[head], cols[head], w[head]
 
-    # Tile by tile: candidates up to rounding by squared weight, reduced to one per component
-    # before the next tile, so that copies (whose edges all tie) hold no more than a tile.
-    lowest = np.full(len(names), np.inf)
-    step = max(1, (1 << 21) // len(t))
+    # Candidates up to rounding by squared weight, reduced to one per component before the next
+    # tile, so that copies (whose edges all tie) hold no more than a tile.
+    if fits(q) and fits(t) and fits(q_core) and fits(t_core):
+        bound = a["bound"].to_numpy() if "bound" in a.column_names else np.full(len(q), np.inf)
+        tiles = _near_single(q, t, q_core, t_core, q_comp, t_comp, group, bound)
+    else:
+        tiles = _near_double(q, t, q_core, t_core, q_comp, t_comp, group)
     found = []
-    for s in range(0, len(q), step):
-        w2 = np.maximum(squared(q[s:s + step], t), (t_core * t_core)[None, :])
-        np.maximum(w2, (q_core[s:s + step] ** 2)[:, None], out=w2)
-        w2[q_comp[s:s + step][:, None] == t_comp[None, :]] = np.inf
-        np.minimum.at(lowest, group[s:s + step], w2.min(1))
-        limit = lowest[group[s:s + step]]
-        r, c = np.nonzero(np.isfinite(w2) & (w2 <= (limit + 1e-9 * (1 + limit))[:, None]))
+    for r, c in tiles:
         # 50,000 candidates at a time, as each takes two whole vectors.
         for part in range(0, len(r), 50_000):
-            found.append(first(r[part : part + 50_000] + s, c[part : part + 50_000])[:2])
+            found.append(first(r[part : part + 50_000], c[part : part + 50_000])[:2])
     rows = np.concatenate([x[0] for x in found]) if found else np.array([], dtype=int)
     cols = np.concatenate([x[1] for x in found]) if found else np.array([], dtype=int)
     rows, cols, w = first(rows, cols)
@@ -372,6 +379,54 @@ def _lightest_between(a: pa.Table, b: pa.Table) -> pa.Table:
     )
 
 
+def _near_single(q, t, q_core, t_core, q_comp, t_comp, group, bound) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidate pairs by products in single precision, with room for their rounding."""
+    # In the order of components, most tiles inside one component are left out whole.
+    q_order, t_order = np.argsort(q_comp, kind="stable"), np.argsort(t_comp, kind="stable")
+    q, q_core, q_comp, group, bound = (x[q_order] for x in (q, q_core, q_comp, group, bound))
+    t, t_core, t_comp = (x[t_order] for x in (t, t_core, t_comp))
+    scores = Scores(q, t)
+    room = 1 + 1e-9
+    lowest = np.full(group.max() + 1, np.inf)
+    np.minimum.at(lowest, group, bound * bound * room)
+    height, width = TILE_ROWS, TILE_COLS
+    for s in range(0, len(q), height):
+        rows = slice(s, min(s + height, len(q)))
+        own, core2 = group[rows], q_core[rows] ** 2
+        for at in range(0, len(t), width):
+            cols = slice(at, min(at + width, len(t)))
+            if q_comp[rows.start] == q_comp[rows.stop - 1] == t_comp[cols.start] == t_comp[cols.stop - 1]:
+                continue
+            d = scores.tile(rows, cols)
+            r, c = places(d <= scores.limits(lowest[own], rows)[:, None])
+            far = t_core[cols] ** 2
+            keeps = (q_comp[rows][r] != t_comp[cols][c]) & (far[c] <= lowest[own[r]] * room)
+            r, c = r[keeps], c[keeps]
+            # The upper ends of the candidates' weights lower the limit, the lower ends then meet it.
+            middle = d[r, c] + scores.lift[rows][r]
+            wide = scores.error[rows][r]
+            least = np.maximum(core2[r], far[c])
+            above = np.maximum((middle + wide) * scores.scale * scores.scale, least)
+            np.minimum.at(lowest, own[r], above * room)
+            below = np.maximum((middle - wide) * scores.scale * scores.scale, least)
+            keeps = below <= lowest[own[r]] * room
+            yield q_order[r[keeps] + s], t_order[c[keeps] + at]
+
+
+def _near_double(q, t, q_core, t_core, q_comp, t_comp, group) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same in double precision: for numbers that are not finite or very large."""
+    lowest = np.full(group.max() + 1, np.inf)
+    step = max(1, (1 << 21) // len(t))
+    for s in range(0, len(q), step):
+        w2 = np.maximum(squared(q[s:s + step], t), (t_core * t_core)[None, :])
+        np.maximum(w2, (q_core[s:s + step] ** 2)[:, None], out=w2)
+        w2[q_comp[s:s + step][:, None] == t_comp[None, :]] = np.inf
+        np.minimum.at(lowest, group[s:s + step], w2.min(1))
+        limit = lowest[group[s:s + step]]
+        r, c = np.nonzero(np.isfinite(w2) & (w2 <= (limit + 1e-9 * (1 + limit))[:, None]))
+        yield r + s, c
+
+
 def density_cut(
     points: DataFrame, tree: DataFrame, epsilon: float, min_cluster_size: int
 ) -> DataFrame:
