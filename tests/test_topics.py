@@ -247,3 +247,21 @@ def test_default_labels_do_not_depend_on_the_template(spark):
     for template in (labels.TOPIC_TEMPLATE, "Words {keywords} / {titles}"):
         got = {r.topic: r.llm_topic for r in labels.label_topics(info, titled, template=template).collect()}
         assert got == {0: "alpha beta gamma", 1: ""}
+
+
+def test_epochs_broadcast_no_places(spark, monkeypatch):
+    from topicloom.operators import layout as module
+
+    plans = []
+
+    def recorded(df, name):
+        if name == "layout":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, name)
+
+    monkeypatch.setattr(module, "keep", recorded)
+    rng = np.random.default_rng(2)
+    points = spark.createDataFrame([(i, rng.normal(size=3).tolist()) for i in range(20)], "id long, vec array<double>")
+    graph = spark.createDataFrame([(i, i + 1, 1.0) for i in range(19)], "lo long, hi long, weight double")
+    assert layout(points, graph, n_epochs=1).count() == 20
+    assert len(plans) == 1 and "Broadcast" not in plans[0]

@@ -92,7 +92,9 @@ def layout(
         )
         at = position.select(F.col("i").alias("t"), *[F.col(d).alias(f"t{d}") for d in dims])
         own = position.withColumnRenamed("i", "s")
-        forces = edges.unionByName(repel.where(F.col("s") != F.col("t"))).join(at, "t").join(own, "s")
+        forces = edges.unionByName(repel.where(F.col("s") != F.col("t")))
+        # Without the hint each epoch would broadcast the places of all points, by way of the driver.
+        forces = forces.join(at.hint("merge"), "t").join(own.hint("merge"), "s")
         d2 = sum(((F.col(d) - F.col(f"t{d}")) ** 2 for d in dims), F.lit(0.0))
         forces = forces.withColumn("d2", d2)
         pull = F.when(
@@ -116,7 +118,7 @@ def layout(
         )
         scale = alpha / F.greatest(F.coalesce("degree", F.lit(1.0)), F.lit(1.0))
         following = keep(
-            position.join(moves.withColumnRenamed("s", "i"), "i", "left").select(
+            position.join(moves.withColumnRenamed("s", "i").hint("merge"), "i", "left").select(
                 "i", *[(F.col(d) + F.coalesce(F.col(f"m{d}") * scale, F.lit(0.0))).alias(d) for d in dims]
             ),
             "layout",
