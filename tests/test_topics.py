@@ -265,3 +265,22 @@ def test_epochs_broadcast_no_places(spark, monkeypatch):
     graph = spark.createDataFrame([(i, i + 1, 1.0) for i in range(19)], "lo long, hi long, weight double")
     assert layout(points, graph, n_epochs=1).count() == 20
     assert len(plans) == 1 and "Broadcast" not in plans[0]
+
+
+def test_hashed_words_are_held_in_pieces(monkeypatch):
+    import regex
+
+    from topicloom.operators import embedding
+
+    monkeypatch.setattr(embedding, "PIECE_CHARS", 10)
+    monkeypatch.setattr(embedding, "KNOWN_WORDS", 5)
+    texts = ["aa bb", "", "cc dd ee ff gg", "aa", "aa bb cc", "hh"] * 3
+    runs = list(embedding.pieces(texts))
+    assert [i for a, b in runs for i in range(a, b)] == list(range(len(texts)))
+    assert all(b - a == 1 or sum(map(len, texts[a:b])) <= 10 for a, b in runs)
+    known, pattern = {}, regex.compile(embedding.TOKEN_PATTERN)
+    counts = []
+    for a, b in runs:
+        counts.append(embedding.count_words(texts[a:b], pattern, known, 8))
+        assert len(known) <= 5 + 10
+    assert (np.concatenate(counts) == embedding.count_words(texts, pattern, {}, 8)).all()
