@@ -110,3 +110,16 @@ def test_components(spark):
     got = {r["vertex"]: r["component"] for r in components(spark.createDataFrame(pairs, "u long, v long")).collect()}
     assert got == {i: 0 for i in range(31)} | {50: 50, 60: 50, 55: 50, 70: 70, 71: 70}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_whole_bitmaps_tell_large_unrelated_sets_apart(spark):
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 62, 3000).astype(np.uint64)
+    near = np.r_[base[:2900], rng.integers(0, 1 << 62, 100).astype(np.uint64)]
+    other = np.r_[base[:20], rng.integers(0, 1 << 62, 2980).astype(np.uint64)]
+    maps = [join._bitmap(np.unique(x)).tolist() for x in (base, near, other)]
+    sets = spark.createDataFrame([(i, 3000, m) for i, m in enumerate(maps)], "i int, _n long, _all array<long>")
+    side = F.struct("_n", "_all")
+    pairs = sets.select(F.col("i").alias("x"), side.alias("a")).crossJoin(sets.select(F.col("i").alias("y"), side.alias("b")))
+    could = pairs.where("x < y").where(join._could_link(80, bits="_all")).select("x", "y").collect()
+    assert [tuple(r) for r in could] == [(0, 1)]

@@ -361,19 +361,18 @@ def _folded(bits: Column, longs: Column) -> Column:
     )
 
 
-def _could_link(percent: int, longs: int | None = None) -> Column:
+def _could_link(percent: int, longs: int | None = None, bits: str = "_bits") -> Column:
     """Sizes and bitmaps of ``a`` and ``b`` (of ``longs`` longs, if equal) do not rule out a link."""
     small_, large = F.least("a._n", "b._n"), F.greatest("a._n", "b._n")
     sized = 100 * small_ >= percent * large
+    x, y = F.col(f"a.{bits}"), F.col(f"b.{bits}")
     if longs is not None:
-        parts = [F.bit_count(F.get("a._bits", F.lit(i)).bitwiseXOR(F.get("b._bits", F.lit(i)))) for i in range(longs)]
+        parts = [F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(longs)]
         differ = sum(parts, F.lit(0))
     else:
-        common = F.least(F.size("a._bits"), F.size("b._bits"))
-        pairs = F.zip_with(
-            _folded(F.col("a._bits"), common), _folded(F.col("b._bits"), common), lambda x, y: F.bit_count(x.bitwiseXOR(y))
-        )
-        differ = F.aggregate(pairs, F.lit(0), lambda x, y: x + y)
+        common = F.least(F.size(x), F.size(y))
+        pairs = F.zip_with(_folded(x, common), _folded(y, common), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+        differ = F.aggregate(pairs, F.lit(0), lambda p, q: p + q)
     return sized & ((100 + percent) * differ <= (100 - percent) * (F.col("a._n") + F.col("b._n")))
 
 
@@ -448,13 +447,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = _labelled(open_.select("_key", F.col("_id").alias("u")).distinct(), labels, "u", "c")
     mixed = placed.groupBy("_key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low != high")
     left = placed.join(mixed.select("_key", "low"), "_key").join(sizes.withColumnRenamed("_id", "u"), "u")
-    folded = _folded(F.col("_bits"), F.lit(4))
-    left = keep(left.select("_key", "u", "c", "low", F.struct("_n", folded.alias("_bits")).alias("s")), "jaccard-left")
+    folded = _folded(F.col("_bits"), F.lit(LEAST_BITS // 64))
+    whole = F.when(F.size("_bits") > LEAST_BITS // 64, F.col("_bits"))
+    shape = F.struct("_n", folded.alias("_bits"), whole.alias("_all"))
+    left = keep(left.select("_key", "u", "c", "low", shape.alias("s")), "jaccard-left")
     minor = left.where("c != low").select("_key", F.col("u").alias("x"), F.col("c").alias("d"), F.col("s").alias("a"))
     major = left.select("_key", F.col("u").alias("y"), F.col("c").alias("e"), F.col("s").alias("b"))
-    # Sizes and bitmaps are compared inside the join: of a group's pairs only those pass that
-    # may be linked.
-    apart = (minor["_key"] == major["_key"]) & (F.col("d") != F.col("e")) & F.coalesce(_could_link(percent, 4), F.lit(True))
+    # Sizes and whole bitmaps are compared inside the join: of a group's pairs only those pass
+    # that may be linked.  A short bitmap tells large sets nothing, so the folded one goes first
+    # and the whole ones of two large sets after it.
+    could = F.coalesce(_could_link(percent, LEAST_BITS // 64), F.lit(True))
+    large = F.col("a._all").isNull() | F.col("b._all").isNull() | _could_link(percent, bits="_all")
+    apart = (minor["_key"] == major["_key"]) & (F.col("d") != F.col("e")) & could & large
     pairs = minor.join(major, apart).select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
     more = verified(keep(_plausible(pairs, sizes, percent), "jaccard-pairs"), texts, percent)
     final = components(links.union(copies).union(more)).withColumnRenamed("vertex", "_id")
