@@ -87,3 +87,26 @@ def test_edges(spark, edge_docs, no_docs):
     assert out.count() == edge_docs.count()
     assert out.columns[0] == "doc_id"
     assert al.align_documents(no_docs, A, B).count() == 0
+
+
+def test_parts_equal_whole_texts_and_are_tokenized_once(monkeypatch):
+    rnd = random.Random(3)
+    pieces = ["a", "foo", " ", "  ", "\n", "\t", "\xa0", "\x1f", "é", "中文", "▁", "<|endoftext|>", "<0x41>", "'s", "12", "!", "x " * 40]
+    texts = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 12))) for _ in range(600)]
+    texts += [" ", "a ", " a", "a \n b", "a\n  b", "▁ a", "one two three " * 30, "y" * 300 + " z"]
+    parts, whole = al.Tokenizers(A, B), al.Tokenizers(A, B)
+    assert parts.cuts
+    whole.cuts = False
+
+    def plain(found):
+        return [f and (*f[:5], *(x.tolist() for x in f[5:])) for f in found]
+
+    for kept in (8, 100_000):  # forgotten parts come back the same
+        monkeypatch.setattr(al, "CACHE_PARTS", kept)
+        for few in (texts[i : i + 40] for i in range(0, len(texts), 40)):
+            assert plain(parts.documents(few)) == plain(whole.documents(few))
+    assert max(map(len, parts._known)) <= al.LONGEST_KEPT
+    # A text of known parts asks neither tokenizer for anything.
+    monkeypatch.setattr(parts, "a", None)
+    monkeypatch.setattr(parts, "b", None)
+    assert parts.documents(["three two one " * 9 + "two"])[0][0] == 28

@@ -9,6 +9,12 @@ mismatch inside the last window.  At a mismatch the irregular group is
 resolved locally, advancing whichever end is behind until both end at the same
 byte; the shift is then updated and probing resumes.
 
+Where neither tokenizer can have a token across a space that follows another
+character, a text is cut there: both tokenizations end at the cut, so those of
+the text, its groups and its links are those of its parts, one after the other.
+The parts that a worker has not met yet are tokenized and aligned together, as
+one run of tokens; what was found for a part is remembered.
+
 On Spark, every document is tokenized and aligned in one Arrow pass; the
 per-document link counts per (A id, B id) are summed corpus-wide by a grouped
 aggregation with map-side combine, the best count per B id by a second small
@@ -19,14 +25,18 @@ a very common pair (a third of all links) spreads over ``SALTS`` tasks.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topicloom.llm.bpe_automaton import slices
 from topicloom.llm.text import inputs
 from topicloom.workspace import keep
 
@@ -34,7 +44,14 @@ from topicloom.workspace import keep
 A_FILE = "byte_bpe_50k.json"
 B_FILE = "piece_bpe_32k.model"
 SALTS = 16
-CHUNK = 16  # texts tokenized at once: bounds the encodings a Python worker holds
+CHUNK = 400_000  # bytes of text tokenized at once: bounds the encodings a Python worker holds
+# Parts a worker remembers; when half of them are new, those not met since are forgotten.  Longer
+# parts are not kept.
+CACHE_PARTS = 300_000
+LONGEST_KEPT = 64
+LINE = 50  # parts that A encodes at once
+# A space after another character, unless only white space follows: there a text is cut.
+CUT = re.compile(r"(?<=\S) (?=\s*\S)")
 
 
 def byte_level_table() -> dict[str, int]:
@@ -65,15 +82,34 @@ def _flat(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(pieces), dtype=np.uint8), starts, lengths
 
 
-def _joins_to(ids: np.ndarray, flat, want: np.ndarray) -> bool:
-    """Whether the byte strings of ``ids``, joined, are ``want`` (gathered by numpy)."""
-    data, starts, lengths = flat
-    lens = lengths[ids]
-    if int(lens.sum()) != len(want):
+def _cuts_a(path: str) -> bool:
+    """Whether A's file has nothing that joins characters across a space after another character:
+    words of the byte-level pattern, no normalizer, plain merges, no added token that stays whole."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    words, model = spec["pre_tokenizer"] or {}, spec["model"]
+    return (
+        spec["normalizer"] is None
+        and words.get("type") == "ByteLevel" and words.get("use_regex", True) and not words.get("add_prefix_space", True)
+        and model["type"] == "BPE" and not model.get("dropout") and not model.get("continuing_subword_prefix")
+        and not model.get("end_of_word_suffix") and all(t["special"] for t in spec["added_tokens"])
+    )
+
+
+def _cuts_b(model: bytes) -> bool:
+    """The same of B's model: merges without normalization, no piece with a space after another character."""
+    try:
+        from sentencepiece import sentencepiece_model_pb2
+    except ImportError:
         return False
-    before = np.cumsum(lens) - lens
-    idx = np.repeat(starts[ids] - before, lens) + np.arange(len(want))
-    return bool(np.array_equal(data[idx], want))
+    spec = sentencepiece_model_pb2.ModelProto.FromString(model)
+    trainer, normalizer = spec.trainer_spec, spec.normalizer_spec
+    return (
+        trainer.model_type == trainer.BPE and not trainer.treat_whitespace_as_suffix
+        and not normalizer.precompiled_charsmap and normalizer.add_dummy_prefix
+        and normalizer.escape_whitespaces and not normalizer.remove_extra_whitespaces
+        and not any(p.type == p.USER_DEFINED or re.search("[^▁]▁", p.piece) for p in spec.pieces)
+    )
 
 
 class Tokenizers:
@@ -91,27 +127,84 @@ class Tokenizers:
             bytes(table[c] for c in (self.a.id_to_token(i) or "")) for i in range(self.a.get_vocab_size())
         ]
         self.b_bytes = [piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
-        self.a_flat, self.b_flat = _flat(self.a_bytes), _flat(self.b_bytes)
         top = max(len(self.a_bytes), len(self.b_bytes))
         self.decimal = _flat([str(i).encode() for i in range(top)])  # ids as decimal text
-        self.a_len, self.b_len = self.a_flat[2], self.b_flat[2]
+        self.a_len, self.b_len = (np.array([len(x) for x in side], dtype=np.int64) for side in (self.a_bytes, self.b_bytes))
+        self.cuts = _cuts_a(a_path) and _cuts_b(self.b.serialized_model_proto())
+        self._known: dict[str, tuple | None] = {}
+        self._before: dict[str, tuple | None] = {}
 
-    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """(A ids, B ids) per text, or None where a text is empty or either tokenization
-        does not join to exactly space + text."""
+    def _encoded(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
         # The fast variant skips offsets; the ids are the same.
         encoded_a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
         encoded_b = self.b.encode(texts, num_threads=1)
-        out = []
-        for text, ea, eb in zip(texts, encoded_a, encoded_b):
-            want = np.frombuffer((" " + text).encode("utf-8"), dtype=np.uint8)
-            a, b = np.array(ea.ids, dtype=np.int64), np.array(eb, dtype=np.int64)
-            if not text or not _joins_to(a, self.a_flat, want) or not _joins_to(b, self.b_flat, want):
-                out.append(None)
-            else:
-                out.append((a, b))
+        out, a_of, b_of = [], self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        for text, ea, b in zip(texts, encoded_a, encoded_b):
+            want, a = (" " + text).encode("utf-8"), ea.ids
+            whole = text and b"".join(map(a_of, a)) == want and b"".join(map(b_of, b)) == want
+            out.append((a, b) if whole else None)
+        return out
+
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """(A ids, B ids) per text, or None where a text is empty or either tokenization
+        does not join to exactly space + text."""
+        return [
+            pair and (np.array(pair[0], dtype=np.int64), np.array(pair[1], dtype=np.int64)) for pair in self._encoded(texts)
+        ]
+
+    def documents(self, texts: list[str]) -> list[tuple | None]:
+        """Figures, digest and links per text (see ``document``), or None where ``tokens`` gives none."""
+        cut = [CUT.split(t) if self.cuts and t else [t] for t in texts]
+        if len(self._known) >= CACHE_PARTS // 2:
+            self._known, self._before = {}, self._known
+        known, before = self._known, self._before
+        new = set(chain.from_iterable(cut)).difference(known)
+        met = new.intersection(before)
+        known.update((part, before[part]) for part in met)
+        new = list(new - met)
+        if new:
+            known.update(zip(new, aligned_parts(self, *(self._joined(new) or self._single(new)))))
+        out = [document([known[part] for part in parts]) for parts in cut]
+        for part in new:
+            if len(part) > LONGEST_KEPT:
+                del known[part]
         return out
 
+    def _single(self, parts: list[str]):
+        """Whether each part joins back, and of those that do all A and B ids and their numbers per part."""
+        pairs = self._encoded(parts)
+        whole = [p for p in pairs if p]
+        return (
+            [bool(p) for p in pairs],
+            np.array([x for p in whole for x in p[0]], dtype=np.int64),
+            np.array([x for p in whole for x in p[1]], dtype=np.int64),
+            np.array([len(p[0]) for p in whole], dtype=np.int64),
+            np.array([len(p[1]) for p in whole], dtype=np.int64),
+        )
+
+    def _joined(self, parts: list[str]):
+        """As ``_single``, but A encodes ``LINE`` parts as one text; None where that cannot be told apart
+        into the parts or a part does not join back."""
+        if not self.cuts or not all(p and not p[-1].isspace() for p in parts):
+            return None
+        lines = [" " + " ".join(parts[i : i + LINE]) for i in range(0, len(parts), LINE)]
+        of_a = [e.ids for e in self.a.encode_batch_fast(lines, add_special_tokens=False)]
+        of_b = self.b.encode(parts, num_threads=1)
+        want = "".join(lines).encode("utf-8")
+        if b"".join(map(self.a_bytes.__getitem__, chain.from_iterable(of_a))) != want:
+            return None
+        if b"".join(map(self.b_bytes.__getitem__, chain.from_iterable(of_b))) != want:
+            return None
+        a = np.array(list(chain.from_iterable(of_a)), dtype=np.int64)
+        b = np.array(list(chain.from_iterable(of_b)), dtype=np.int64)
+        sizes = list(map(len, parts)) if len(want) == sum(map(len, lines)) else [len(p.encode("utf-8")) for p in parts]
+        ends = np.cumsum(np.array(sizes, dtype=np.int64) + 1)
+        ends_a, ends_b = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
+        last_a, last_b = np.searchsorted(ends_a, ends), np.cumsum(list(map(len, of_b)), dtype=np.int64) - 1
+        if not np.array_equal(ends_a[last_a], ends) or not np.array_equal(ends_b[last_b], ends):
+            return None
+        return [True] * len(parts), a, b, np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+
 
 @cache
 def _loaded(a_path: str, b_path: str) -> Tokenizers:
@@ -179,8 +272,10 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.searchsorted(ends_a, union), np.searchsorted(ends_b, union)
 
 
-def groups_text(a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray, decimal) -> bytes:
-    """``a1,a2|b1;a3|b2,b3``: per group its A ids, then its B ids, in token order.
+def groups_text(
+    a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray, decimal
+) -> tuple[bytes, np.ndarray]:
+    """``a1,a2|b1;a3|b2,b3``: per group its A ids, then its B ids, in token order; and where each group ends.
 
     The ids are written by gathering their decimal text from ``decimal`` (see ``_flat``).
     """
@@ -197,20 +292,49 @@ def groups_text(a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarr
     inner = np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
     out[np.repeat(start, lens) + inner] = data[np.repeat(starts[seq], lens) + inner]
     after = start + lens  # separator after each id
+    ends = after[a_cut + b_cut - 1]
     out[after[a_cut + b_before - 1]] = ord("|")
-    out[after[(a_cut + b_cut - 1)[:-1]]] = ord(";")
-    return out[:-1].tobytes()
+    out[ends] = ord(";")
+    return out[:-1].tobytes(), ends
+
 
+def aligned_parts(
+    tok: Tokenizers, whole: list[bool], a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray
+) -> list[tuple | None]:
+    """Per part of a text: the numbers of its A tokens, B tokens and groups, the text of its groups and its
+    links as packed keys (A id above B id); None where a part does not join back.
 
-def document(tok: Tokenizers, a: np.ndarray, b: np.ndarray):
-    """Per-document figures and the link multiset as (A id, B id, count) arrays."""
+    ``a`` and ``b`` are the ids of all other parts, ``na`` and ``nb`` their numbers per part.  They
+    are aligned in one walk: both tokenizations end where a part ends.
+    """
+    if not len(a):
+        return [None] * len(whole)
     ends_a, ends_b = np.cumsum(tok.a_len[a]), np.cumsum(tok.b_len[b])
     a_cut, b_cut = align(ends_a, ends_b)
     pa_, pb_ = links(ends_a, ends_b)
-    keys = a[pa_] * (1 << 20) + b[pb_]
-    uniq, mult = np.unique(keys, return_counts=True)
-    digest = hashlib.sha256(groups_text(a, b, a_cut, b_cut, tok.decimal)).hexdigest()
-    return len(a_cut), len(pa_), digest, uniq >> 20, uniq & ((1 << 20) - 1), mult
+    keys = (a[pa_] * (1 << 20) + b[pb_]).tobytes()
+    text, group_ends = groups_text(a, b, a_cut, b_cut, tok.decimal)
+    last = np.cumsum(na)
+    groups = np.searchsorted(a_cut, last) + 1
+    key_ends = (8 * np.searchsorted(pa_, last)).tolist()
+    text_ends = group_ends[groups - 1].tolist()
+    found = zip(
+        na.tolist(), nb.tolist(), np.diff(groups, prepend=0).tolist(),
+        [text[x:y] for x, y in zip([0] + [e + 1 for e in text_ends], text_ends)],
+        [keys[x:y] for x, y in zip([0] + key_ends, key_ends)],
+    )
+    return [next(found) if ok else None for ok in whole]
+
+
+def document(parts: list[tuple | None]):
+    """Per-document figures, digest and the link multiset as (A id, B id, count) arrays, from its parts."""
+    if None in parts:
+        return None
+    na, nb, groups, texts, keys = zip(*parts)
+    packed = np.frombuffer(b"".join(keys), dtype=np.int64)
+    uniq, mult = np.unique(packed, return_counts=True)
+    digest = hashlib.sha256(b";".join(texts)).hexdigest()
+    return sum(na), sum(nb), sum(groups), len(packed), digest, uniq >> 20, uniq & ((1 << 20) - 1), mult
 
 
 EMPTY = np.zeros(0, dtype=np.int64)
@@ -225,8 +349,8 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 def _slices(batches):
     for whole in batches:
-        for start in range(0, whole.num_rows, CHUNK):
-            yield whole.slice(start, CHUNK)
+        for start, length in slices(whole.column("_text"), CHUNK):
+            yield whole.slice(start, length)
 
 
 def _aligned(a_path: str, b_path: str):
@@ -236,14 +360,8 @@ def _aligned(a_path: str, b_path: str):
         for batch in _slices(batches):
             texts = [t or "" for t in batch.column("_text").to_pylist()]
             cols = {k: [] for k in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "_la", "_lb", "_lm")}
-            for pair in tok.tokens(texts):
-                if pair is None:
-                    figures = (0, 0, 0, 0, "", EMPTY, EMPTY, EMPTY)
-                else:
-                    a, b = pair
-                    groups, links, digest, la, lb, lm = document(tok, a, b)
-                    figures = (len(a), len(b), groups, links, digest, la, lb, lm)
-                for k, v in zip(cols, figures):
+            for figures in tok.documents(texts):
+                for k, v in zip(cols, figures or (0, 0, 0, 0, "", EMPTY, EMPTY, EMPTY)):
                     cols[k].append(v)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), batch.column("_row")]
