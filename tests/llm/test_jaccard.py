@@ -123,3 +123,21 @@ def test_whole_bitmaps_tell_large_unrelated_sets_apart(spark):
     pairs = sets.select(F.col("i").alias("x"), side.alias("a")).crossJoin(sets.select(F.col("i").alias("y"), side.alias("b")))
     could = pairs.where("x < y").where(join._could_link(80, bits="_all")).select("x", "y").collect()
     assert [tuple(r) for r in could] == [(0, 1)]
+
+
+def test_words_are_hashed_by_array_wherever_they_stand(monkeypatch):
+    rng = np.random.default_rng(8)
+    words = {"".join(rng.choice(list("abAB\x00\x1fé中.\xa0"), int(rng.integers(1, 9)))) for _ in range(3000)} | {"x" * 70_000}
+    words = sorted({w.encode().lower() for w in words} - {b""})
+    alone = np.concatenate([join.word_hashes(w) for w in words])
+    assert len(alone) == len(words) == len(np.unique(alone))
+    gaps = [b" ", b"\t\n", b"\x0b\x0c\r ", b"  "]
+    raw = b" " + b"".join(w + gaps[i % 4] for i, w in enumerate(words))
+    assert np.array_equal(join.word_hashes(raw), alone)
+    whole = join.Shingles()(raw.decode())
+    assert len(whole) == len(words) - 4
+    for size in (1, 100):
+        monkeypatch.setattr(join, "PIECE", size)
+        assert np.array_equal(np.concatenate([join.word_hashes(x) for x in join._pieces(raw)]), alone)
+        assert np.array_equal(join.Shingles()(raw.decode()), whole)
+    assert not len(join.word_hashes(b" \n")) and not len(join.Shingles()(None))

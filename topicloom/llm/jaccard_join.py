@@ -20,6 +20,7 @@ hub, the pairs still apart after that are verified where they share a key.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,11 +39,13 @@ N = 5
 # Similarity 0.8 as whole numbers: 100 * intersection >= 80 * union.
 PERCENT = 80
 SALTS = 8
+PIECE = 1 << 20  # bytes of a text whose words are hashed at once
 FLUSH = 1_000_000  # keys a task holds before it sends them off
 WEAK_PRICE = 8.0
 KEY_BYTES = 5  # of a key within its bucket; a chance collision is only one more candidate
 HOT = 64  # documents of one flush with the same key from which they are sent as a group
 LEAST_BITS = 1024  # of the bitmap kept per document
+_SPACE = re.compile(rb"[ \t-\r]")
 _M1, _M2, _P = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -53,22 +56,35 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Shingles:
-    """Text -> sorted distinct shingle hashes; word hashes are remembered per task."""
+def _pieces(raw: bytes) -> Iterator[bytes]:
+    """Pieces of a long text, cut at white space: they bound the arrays of ``word_hashes``."""
+    start = 0
+    while start < len(raw):
+        cut = _SPACE.search(raw, start + PIECE)
+        stop = cut.start() if cut else len(raw)
+        yield raw[start:stop]
+        start = stop
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """A hash of every word: its bytes, each mixed with its place in the word, summed and mixed."""
+    data = np.frombuffer(raw, dtype=np.uint8)
+    at = np.flatnonzero((data != 32) & (data - np.uint8(9) > 4))  # below 9 wraps around
+    if not len(at):
+        return np.zeros(0, dtype=np.uint64)
+    new = np.ones(len(at), dtype=bool)
+    np.not_equal(at[1:], at[:-1] + 1, out=new[1:])
+    first = np.flatnonzero(new)
+    place = np.arange(len(at)) - np.repeat(first, np.diff(first, append=len(at)))
+    return mix(np.add.reduceat(mix((place.astype(np.uint64) << np.uint64(8) | data[at]) + _P), first))
 
-    def __init__(self):
-        self._known: dict[bytes, int] = {}
+
+class Shingles:
+    """Text -> sorted distinct shingle hashes."""
 
     def __call__(self, text: str | None) -> np.ndarray:
-        known, hashes = self._known, []
-        for word in (text or "").encode("utf-8", "surrogatepass").lower().split():
-            value = known.get(word)
-            if value is None:
-                if len(known) >= 300_000:
-                    known.clear()
-                value = known[word] = xxhash.xxh3_64_intdigest(word)
-            hashes.append(value)
-        h = np.array(hashes, dtype=np.uint64)
+        raw = (text or "").encode("utf-8", "surrogatepass").lower()
+        h = np.concatenate([np.zeros(0, dtype=np.uint64), *map(word_hashes, _pieces(raw))])
         if not len(h):
             return h
         if len(h) < N:
@@ -80,7 +96,8 @@ class Shingles:
         total = np.full(len(h) - N + 1, N, dtype=np.uint64)
         for i in range(N):
             total = total * _P + h[i : len(h) - N + 1 + i]
-        return np.unique(mix(total))
+        total = np.sort(mix(total))
+        return total[np.concatenate([[True], total[1:] != total[:-1]])]
 
 
 class Scheme:
