@@ -106,6 +106,25 @@ def test_group_many_times_larger_than_the_shards(spark, monkeypatch):
     assert {found[i][1] for i in range(300, 1200)} == {300}
 
 
+def test_visits_do_not_grow_with_the_shards(spark, monkeypatch):
+    # Pairs of near copies and no structure else: a vector visits a few shards however many there are.
+    monkeypatch.setattr(near, "PER_CENTRE", 10)
+    asked, real = [], near._search
+
+    def counting(routed, *rest):
+        asked.append(routed.selectExpr("coalesce(sum(size(_visits)), 0)").first()[0])
+        return real(routed, *rest)
+
+    monkeypatch.setattr(near, "_search", counting)
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(300, 32))
+    rows = [(i, v.tolist(), 1) for i, v in enumerate([*base, *(base + 0.02 * rng.normal(size=base.shape))])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near.near_duplicates(table).collect()}
+    assert found == {i: (1, i % 300) for i in range(600)}
+    assert sum(asked) < 15 * 600  # of 60 shards
+
+
 def test_failed_audits_end_in_the_exact_pass(spark, monkeypatch):
     # A search that finds nothing: only the comparison of all pairs is left.
     def nothing(self, queries, *_):

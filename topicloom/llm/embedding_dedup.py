@@ -4,11 +4,15 @@ Vectors of one label fall into the shards of their ``overlap`` nearest centres (
 sample).  Each shard, cut into blocks of bounded size, gets a graph: greedy searches from its
 medoid give the candidates of a vector, robust pruning keeps the edges, reverse edges are added
 and pruned again.  The adjacency lists of a vector from all its shards are united.  Then every
-vector is searched in the blocks of each shard that can be the nearest one of a vector in range:
+vector is searched in the blocks of the shards that can be the nearest one of a vector in range:
 greedily from the medoid with a beam, and where the beam ends inside the radius the search goes
 on through all neighbours in range.  What is found is verified in double precision.  A link
 counts in the nearest shard of the vector that is found.
 
+Where vectors have no structure, nearly every shard can be that one.  The shards are therefore
+visited from the nearest on: the audit tells how far down the list true links go, twice as many
+shards are visited, and a vector with a link in the farther half visits all the others as well.
+
 Equal vectors of a label are one vertex with a count, so copies never form pairs.
 """
 
@@ -222,7 +226,7 @@ def vertices(rows: DataFrame) -> DataFrame:
 
 def route(points: DataFrame, dim: int, overlap: int = OVERLAP, cosine: float = COSINE) -> DataFrame:
     """Add ``_cells``: the numbers of the nearest centres of the same label, in rising order,
-    ``_home``: the nearest one, and ``_visits``: all that can be the home of a vector in range.
+    ``_home``: the nearest one, and ``_visits``: all that can be the home of a vector in range, nearest first.
 
     A vector x at home at c is not nearer to the home h of q than to c, so q (h - c) is at most
     (q - x)(h - c), and at most |q - x| |h - c|; a centre beyond that has nothing in range of q.
@@ -252,14 +256,14 @@ def route(points: DataFrame, dim: int, overlap: int = OVERLAP, cosine: float = C
                 numbers, centres = shared.value[label]
                 for part in np.array_split(at, max(1, len(at) * len(numbers) // 4_000_000)):
                     sims = vectors[part] @ centres.T
-                    best = np.argsort(-sims, axis=1, kind="stable")[:, :overlap]
-                    first = best[:, 0]
+                    order = np.argsort(-sims, axis=1, kind="stable")
+                    best, first = order[:, :overlap], order[:, 0]
                     apart = np.sqrt(np.maximum(2 - 2 * (centres[first] @ centres.T), 0))
                     reached = sims[np.arange(len(part)), first][:, None] - sims <= chord * apart + _ROUTE_SLACK
-                    for i, chosen, row in zip(part, best, reached):
+                    for i, chosen, row, near in zip(part, best, reached, order):
                         cells[i] = sorted(numbers[chosen].tolist())
                         homes[i] = int(numbers[chosen[0]])
-                        visits[i] = numbers[row].tolist()
+                        visits[i] = numbers[near[row[near]]].tolist()
             added = [pa.array(cells, pa.list_(pa.int32())), pa.array(homes, pa.int32()), pa.array(visits, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, "_cells", "_home", "_visits"])
 
@@ -270,8 +274,8 @@ def route(points: DataFrame, dim: int, overlap: int = OVERLAP, cosine: float = C
 
 
 def placed(routed: DataFrame, cells: str = "_cells") -> DataFrame:
-    """One row per vector and shard: ``_cell``, ``_block``, ``_blocks`` and the vector's columns."""
-    rows = routed.withColumn("_cell", F.explode(cells)).drop("_cells", "_visits")
+    """One row per vector and shard: ``_cell``, its ``_place`` in the list, ``_block``, ``_blocks`` and the vector's columns."""
+    rows = routed.select("*", F.posexplode(cells).alias("_place", "_cell")).drop("_cells", "_visits")
     sizes = rows.groupBy("_label", "_cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
     block = F.pmod(F.xxhash64("_v"), F.col("_blocks")).cast("int")
     return rows.join(sizes, ["_label", "_cell"]).withColumn("_block", block)
@@ -290,7 +294,7 @@ def _searcher(cosine: float, beam: int | None):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         cell = key[1].as_py()
         query, home = np.asarray(table["_query"]), np.asarray(table["_home"])
-        ids, weight = np.asarray(table["_v"]), np.asarray(table["_n"])
+        ids, weight, late = np.asarray(table["_v"]), np.asarray(table["_n"]), np.asarray(table["_late"])
         raw = np.array(table["_vec"].to_pylist(), dtype=np.float64)
         norms = np.linalg.norm(raw, axis=1)
         vectors = (raw / norms[:, None]).astype(np.float32)
@@ -309,7 +313,7 @@ def _searcher(cosine: float, beam: int | None):
         links = np.zeros(len(ids), dtype=np.int64)
         # Rows of one id, as query and as node, share a place.
         values, place = np.unique(ids, return_inverse=True)
-        least, hit = values.copy(), np.zeros(len(values), dtype=bool)
+        least, hit, far = values.copy(), np.zeros(len(values), dtype=bool), np.zeros(len(values), dtype=bool)
         left, right = [], []
         for start in range(0, len(queries), BATCH):
             some = queries[start : start + BATCH]
@@ -326,6 +330,7 @@ def _searcher(cosine: float, beam: int | None):
                 a, b = a[ok], b[ok]
                 at_home = home[b] == cell
                 np.add.at(links, a[at_home], weight[b[at_home]])
+                far[place[a[at_home & late[a]]]] = True
                 left.append(place[a])
                 right.append(place[b])
         a, b = np.concatenate(left or [[]]).astype(int), np.concatenate(right or [[]]).astype(int)
@@ -338,20 +343,24 @@ def _searcher(cosine: float, beam: int | None):
         hit[a] = hit[b] = True
         total = np.zeros(len(values), dtype=np.int64)
         np.add.at(total, place, links)
-        return pa.table({"_v": values[hit], "_links": total[hit], "_least": least[hit]})
+        return pa.table({"_v": values[hit], "_links": total[hit], "_least": least[hit], "_far": far[hit]})
 
     return run
 
 
 def _none() -> pa.Table:
-    return pa.table({c: pa.array([], pa.int64()) for c in ("_v", "_links", "_least")})
+    whole = {c: pa.array([], pa.int64()) for c in ("_v", "_links", "_least")}
+    return pa.table({**whole, "_far": pa.array([], pa.bool_())})
 
 
-def search_all(routed: DataFrame, cosine: float = COSINE, beam: int | None = BEAM) -> DataFrame:
+def search_all(routed: DataFrame, cosine: float = COSINE, beam: int | None = BEAM, nearest: int | None = None) -> DataFrame:
     """Rows ``_v``, ``_links``, ``_least``, several per vector: links found in a task and the least
-    id they lead to there.  Without a beam all pairs of a query block and a node block are compared."""
+    id they lead to there.  Without a beam all pairs of a query block and a node block are compared.
+
+    With ``nearest`` a vector visits that many shards of its list, and the others when one of the
+    farther half of them gave it a link.
+    """
     nodes = keep(placed(routed), "graph-placed")
-    asked = keep(placed(routed, "_visits"), "graph-asked")
     if beam is None:
         full = nodes.where("_home = _cell").withColumn("_near", F.lit(None).cast("array<long>"))
     else:
@@ -359,39 +368,66 @@ def search_all(routed: DataFrame, cosine: float = COSINE, beam: int | None = BEA
         lists = built.applyInArrow(_lists, "_v long, _near array<long>")
         union = lists.groupBy("_v").agg(F.array_distinct(F.flatten(F.collect_list("_near"))).alias("_near"))
         full = nodes.join(union, "_v")
+    if nearest is None:
+        return _search(routed, nodes, full, cosine, beam).drop("_far")
+    full = keep(full, "graph-full")
+    first = routed.withColumn("_visits", F.slice("_visits", 1, nearest))
+    found = keep(_search(first, nodes, full, cosine, beam, nearest // 2), "graph-first")
+    far = keep(found.where("_far").select("_v").distinct(), "graph-far")
+    rest = routed.withColumn("_visits", F.slice("_visits", nearest + 1, CENTRES)).where(F.size("_visits") > 0)
+    rest = rest.join(far, "_v", "left_semi")
+    return found.unionByName(_search(rest, nodes, full, cosine, beam)).drop("_far")
+
+
+def _search(routed: DataFrame, nodes: DataFrame, full: DataFrame, cosine: float, beam: int | None, late: int = CENTRES) -> DataFrame:
+    """The links of all vectors of ``routed`` in the shards they visit; ``_far``: one was found at place ``late`` or later."""
+    asked = keep(placed(routed, "_visits"), "graph-asked")
     # Every block of a shard is searched for every block of the queries that visit it.
     sizes = [rows.select("_label", "_cell", F.col("_blocks").alias("_others")).distinct() for rows in (nodes, asked)]
     every = F.explode(F.sequence(F.lit(0), F.col("_others") - 1))
     as_query = asked.join(sizes[0], ["_label", "_cell"]).select(
         "_label", "_cell", F.col("_block").alias("_i"), every.alias("_j"), "_v", "_n", "_vec", "_home",
-        F.lit(None).cast("array<long>").alias("_near"), F.lit(True).alias("_query"))
+        F.lit(None).cast("array<long>").alias("_near"), F.lit(True).alias("_query"), (F.col("_place") >= late).alias("_late"))
     as_node = full.join(sizes[1], ["_label", "_cell"]).select(
         "_label", "_cell", every.alias("_i"), F.col("_block").alias("_j"), "_v", "_n", "_vec", "_home", "_near",
-        F.lit(False).alias("_query"))
+        F.lit(False).alias("_query"), F.lit(False).alias("_late"))
     tasks = as_query.unionByName(as_node)
-    return tasks.groupBy("_label", "_cell", "_i", "_j").applyInArrow(_searcher(cosine, beam), "_v long, _links long, _least long")
+    return tasks.groupBy("_label", "_cell", "_i", "_j").applyInArrow(
+        _searcher(cosine, beam), "_v long, _links long, _least long, _far boolean"
+    )
 
 
-def true_links(points: DataFrame, dim: int, cosine: float = COSINE, queries: int = AUDIT) -> DataFrame:
-    """Exact link counts of at most ``queries`` vectors against all rows, in blocks: ``_v``, ``_true``."""
-    drawn = points.select("_v", "_label", "_vec").orderBy(F.xxhash64("_v", F.lit("audit")), "_v").limit(queries).collect()
-    shared = points.sparkSession.sparkContext.broadcast([(r["_v"], r["_label"], r["_vec"]) for r in drawn])
+def true_links(routed: DataFrame, dim: int, cosine: float = COSINE, queries: int = AUDIT) -> DataFrame:
+    """Exact link counts of at most ``queries`` vectors against all rows, in blocks: ``_v``, ``_true``,
+    and ``_last``: the farthest place in its ``_visits`` at which a linked vector is at home (-1: none)."""
+    wanted = routed.select("_v", "_label", "_vec", "_visits").orderBy(F.xxhash64("_v", F.lit("audit")), "_v").limit(queries)
+    drawn = wanted.collect()
+    shared = routed.sparkSession.sparkContext.broadcast([tuple(r) for r in drawn])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, labels, raw = zip(*shared.value)
+        ids, labels, raw, visits = zip(*shared.value)
         ids, raw = np.array(ids), _unit(np.array(raw, dtype=np.float64))
-        found = np.zeros(len(ids), dtype=np.int64)
+        # Place of each cell in each list; cell -1 takes the last column.
+        places = np.full((len(ids), max(map(max, visits)) + 2), -1, dtype=np.int32)
+        for row, cells in zip(places, visits):
+            row[cells] = np.arange(len(cells))
+        found, last = np.zeros(len(ids), dtype=np.int64), np.full(len(ids), -1, dtype=np.int64)
         for batch in batches:
             rows = _unit(_matrix(batch.column(1), dim))
             mine = batch.column(0).to_pylist()
             same = np.array([[a == b for b in mine] for a in labels]) & (ids[:, None] != np.asarray(batch.column(2)))
-            found += ((raw @ rows.T >= cosine) & same) @ np.asarray(batch.column(3))
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(found)], names=["_v", "_true"])
+            linked = (raw @ rows.T >= cosine) & same
+            found += linked @ np.asarray(batch.column(3))
+            q, x = np.nonzero(linked)
+            home = np.asarray(batch.column(4))[x]
+            known = home < places.shape[1] - 1
+            np.maximum.at(last, q[known], places[q[known], home[known]])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(found), pa.array(last)], names=["_v", "_true", "_last"])
 
     if not drawn:
-        return points.select("_v", F.lit(0).cast("long").alias("_true"))
-    counts = points.select("_label", "_vec", "_v", "_n").mapInArrow(run, "_v long, _true long")
-    return counts.groupBy("_v").agg(F.sum("_true").alias("_true"))
+        return routed.select("_v", F.lit(0).cast("long").alias("_true"), F.lit(-1).cast("long").alias("_last"))
+    counts = routed.select("_label", "_vec", "_v", "_n", "_home").mapInArrow(run, "_v long, _true long, _last long")
+    return counts.groupBy("_v").agg(F.sum("_true").alias("_true"), F.max("_last").alias("_last"))
 
 
 def recall(links: DataFrame, truth: DataFrame) -> float:
@@ -407,8 +443,8 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     """Per row: id, ``n_links``, ``component_id`` (least id reachable), ``kept`` (own id is that).
 
     Recall is audited on a bounded number of vectors against all rows; while it is below
-    ``least_recall`` the search is repeated with twice the beam, then with four times, and at last
-    all pairs of the blocks are compared.  Invalid
+    ``least_recall`` the search is repeated in all shards that can hold a vector in range, with the
+    beam, with twice and with four times the beam, and at last all pairs of the blocks are compared.  Invalid
     vectors link with nothing and are their own component.  Vectors of another length than
     the rest are compared among themselves only.  Rows that share an id and a vector are copies
     of each other (their links count); a null id has a null component and is not kept.  An
@@ -420,9 +456,11 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     for dim in sorted(r[0] for r in points.select(F.size("_vec")).distinct().collect()):
         same = points.where(F.size("_vec") == dim)
         routed = keep(route(same, dim, cosine=cosine), "graph-routed")
-        truth = keep(true_links(same, dim, cosine), "graph-truth")
-        for width in (beam, 2 * beam, 4 * beam, None):
-            found = keep(search_all(routed, cosine, width), "graph-found")
+        truth = keep(true_links(routed, dim, cosine), "graph-truth")
+        # Twice as far as the audited links go.
+        nearest = max(OVERLAP, 2 * (truth.agg(F.max("_last")).first()[0] + 1))
+        for width, limit in ((beam, nearest), (beam, None), (2 * beam, None), (4 * beam, None), (None, None)):
+            found = keep(search_all(routed, cosine, width, limit), "graph-found")
             links = found.groupBy("_v").agg(F.sum("_links").alias("_links"))
             if width is None or recall(links, truth) >= least_recall:
                 break
