@@ -112,6 +112,24 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_of_stars_take_few_stages(spark):
+    rng = np.random.default_rng(4)
+    edges = [(int(u), int(u) % 7) for u in rng.integers(7, 400, 300)] + [(9, 9), (None, 3), (3, None)]
+    table = spark.createDataFrame(edges, "u long, v long")
+    context, group = spark.sparkContext, "components-of-stars"
+    context.setJobGroup(group, group)
+    try:
+        found = components(table)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    # The driver holds every task of every stage: one round of two shuffles, and its answer.
+    assert jobs and sum(len(j.stageIds) for j in jobs) <= 12
+    rows = [tuple(r) for r in found.collect()]
+    assert len(rows) == len(set(rows)) and dict(rows) == {x: x % 7 for u, v in edges[:300] for x in (u, v)}
+
+
 def test_whole_bitmaps_tell_large_unrelated_sets_apart(spark):
     rng = np.random.default_rng(9)
     base = rng.integers(0, 1 << 62, 3000).astype(np.uint64)

@@ -2,47 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicloom.workspace import drop_kept, keep
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Link the larger (or smaller and own) neighbours of each vertex to its least neighbour."""
-    ways = edges.select("u", "v")
-    if large:
-        ways = ways.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = ways.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    joined = ways.join(least, "u")
-    if large:
-        out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            least.select("u", F.col("m").alias("v"))
-        )
-    return out.where("u != v").distinct()
+def _gathered(edges: DataFrame) -> DataFrame:
+    """The different edges (``u``, ``v``), those of a ``u`` in one task, by a single shuffle; ``_new`` if one of them is."""
+    return edges.repartition("u").groupBy("u", "v").agg(F.max("_new").alias("_new"))
+
+
+def _round(edges: DataFrame) -> DataFrame:
+    """A large star, then a small star: edges that point down (u > v), ``_new`` where one was moved.
+
+    Every edge gives one edge, so the table never grows.
+    """
+    ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = edges.where("u != v").select(F.explode(ways).alias("w")).select("w.*", F.lit(False).alias("_new"))
+    lowest = F.min("v").over(Window.partitionBy("u"))
+    # The larger neighbours of each vertex are linked to its least one or to itself.
+    large = _gathered(both).withColumn("m", F.least(lowest, "u")).where("v > u")
+    large = large.select(F.col("v").alias("u"), F.col("m").alias("v"), (F.col("m") != F.col("u")).alias("_new"))
+    # Its smaller neighbours and the vertex itself are linked to the least of them.
+    small = _gathered(large).withColumn("m", lowest)
+    moved = F.col("v") != F.col("m")
+    return small.select(F.when(moved, F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"), (F.col("_new") | moved).alias("_new"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(u, v) pairs -> (vertex, component): the least vertex reachable, for vertices with an edge.
 
-    Every round is written to the shared folder, so no lineage grows; only a count and a
-    checksum of the edges reach the driver.
+    Every round is two shuffles, written to the shared folder, so no lineage grows; the rounds
+    end with the first that moves no edge.  Only that answer reaches the driver.
     """
-    current = keep(
-        edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(),
-        "edges",
-    )
-    seen = None
-    while True:
-        # Edges point down (u > v) throughout.
-        after = keep(_star(_star(current, large=True), large=False), "edges")
-        state = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    current, moved = None, True
+    while moved:
+        after = keep(_round(edges if current is None else current), "edges")
+        moved = after.agg(F.max("_new")).first()[0]
         drop_kept(current)
         current = after
-        if state == seen:
-            break
-        seen = state
+    # No edge moved: every vertex but the least has one edge, to the least.
     roots = current.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("vertex"), F.col("v").alias("component")).union(roots)

@@ -457,8 +457,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Then, where a key joins documents still apart, each against the member before it.
     open_ = keep(_open(members, stars, labels), "jaccard-open")
     steps = open_.where("_id != _before").select(F.col("_id").alias("u"), F.col("_before").alias("v")).distinct()
-    links = links.union(verified(keep(_plausible(_apart(steps, labels), sizes, percent), "jaccard-pairs"), texts, percent))
-    labels = keep(components(links.union(copies)), "jaccard-labels")
+    links = verified(keep(_plausible(_apart(steps, labels), sizes, percent), "jaccard-pairs"), texts, percent)
+    # What is joined already hangs on its least id: a star each, which the new links connect.
+    before, labels = labels, keep(components(_stars(labels).union(links)), "jaccard-labels")
+    drop_kept(before)
 
     # At last all pairs that share a key and are still apart.
     placed = _labelled(open_.select("_key", F.col("_id").alias("u")).distinct(), labels, "u", "c")
@@ -478,7 +480,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     apart = (minor["_key"] == major["_key"]) & (F.col("d") != F.col("e")) & could & large
     pairs = minor.join(major, apart).select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
     more = verified(keep(_plausible(pairs, sizes, percent), "jaccard-pairs"), texts, percent)
-    final = components(links.union(copies).union(more)).withColumnRenamed("vertex", "_id")
+    final = components(_stars(labels).union(more)).withColumnRenamed("vertex", "_id")
     # The components are written: nothing reads these tables any more.
     drop_kept(members, stars, open_, left, copies, labels)
 
@@ -488,6 +490,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def _stars(labels: DataFrame) -> DataFrame:
+    """The edges from the vertices to their components."""
+    return labels.select(F.col("vertex").alias("u"), F.col("component").alias("v"))
+
+
 def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
     """Add the component of ``column`` as ``name``; a vertex without an edge is its own."""
     known = labels.select(F.col("vertex").alias(column), F.col("component").alias("_c"))

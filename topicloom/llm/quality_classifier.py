@@ -114,8 +114,9 @@ def word_vectors(sample: DataFrame, parts: int = 8) -> np.ndarray:
         F.array(*[F.sum(F.get("vector", F.lit(i))) for i in range(DIM)]).alias("vector")
     )
     out = index_vectors()
-    for bucket, vector in total.toLocalIterator():
-        out[bucket] += np.log1p(np.abs(vector)) * np.sign(vector)
+    table = total.toArrow()
+    sums = np.asarray(table["vector"].combine_chunks().flatten(), dtype=np.float64).reshape(-1, DIM)
+    out[np.asarray(table["bucket"])] += np.log1p(np.abs(sums)) * np.sign(sums)
     return out / np.linalg.norm(out, axis=1, keepdims=True).clip(1e-9)
 
 
@@ -198,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, parts: int = 5
             yield pd.DataFrame({"_id": batch["_id"].astype(str), "_y": batch["_y"], "x": x})
 
     # At most ``sample`` rows of fixed width, in a fixed order.
-    rows = chosen.mapInPandas(features, "_id string, _y double, x array<double>").toPandas().sort_values("_id")
+    rows = chosen.mapInPandas(features, "_id string, _y double, x array<double>").toArrow().to_pandas().sort_values("_id")
     x = np.array(rows["x"].tolist()).reshape(len(rows), 2 * DIM + 1)
     return vectors, Network().fit(x if len(rows) else np.zeros((1, 2 * DIM + 1)), rows["_y"].to_numpy() if len(rows) else np.zeros(1) + 0.5)
 
