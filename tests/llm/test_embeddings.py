@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from topicloom.llm import embedding_dedup as near
 
@@ -125,6 +126,42 @@ def test_visits_do_not_grow_with_the_shards(spark, monkeypatch):
     assert sum(asked) < 15 * 600  # of 60 shards
 
 
+def test_vectors_visit_no_more_shards_than_hold_their_links(spark, monkeypatch):
+    # Linked vectors are often at home in different shards, yet share one of their three.
+    monkeypatch.setattr(near, "PER_CENTRE", 10)
+    asked, real = [], near._search
+
+    def counting(routed, *rest):
+        asked.append(routed.selectExpr("coalesce(sum(size(_visits)), 0)").first()[0])
+        return real(routed, *rest)
+
+    monkeypatch.setattr(near, "_search", counting)
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(200, 32))
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([base + 0.18 * rng.normal(size=base.shape) for _ in range(3)]))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r["vec_id"]: r["n_links"] for r in near.near_duplicates(table).collect()}
+    want = {i: n for i, (n, *_) in brute(rows).items()}
+    assert all(found[i] <= want[i] for i in want) and sum(found.values()) >= 0.95 * sum(want.values())
+    assert sum(asked) < 8 * 600  # of 60 shards
+
+
+def test_links_count_once_whatever_is_visited_first(spark, monkeypatch):
+    monkeypatch.setattr(near, "PER_CENTRE", 20)
+    monkeypatch.setattr(near, "BLOCK", 50)
+    rng = np.random.default_rng(8)
+    unit = near._unit(rng.normal(size=(400, 4)))
+    table = spark.createDataFrame([(i, v.tolist(), i % 2) for i, v in enumerate(unit)], "_id long, _vec array<double>, _label int")
+    routed = near.keep(near.route(near.vertices(table), 4), "test-routed")
+    same = np.arange(400)[:, None] % 2 == np.arange(400) % 2
+    want = ((unit @ unit.T >= 0.93) & same).sum(1) - 1
+    for nearest in (1, 2, 3, None):
+        rows = near.search_all(routed, nearest=nearest).groupBy("_v").agg(F.sum("_links").alias("n")).collect()
+        found = {r["_v"]: r["n"] for r in rows}
+        assert all(n <= want[v] for v, n in found.items()), nearest
+        assert sum(found.values()) >= 0.98 * want.sum(), nearest
+
+
 def test_failed_audits_end_in_the_exact_pass(spark, monkeypatch):
     # A search that finds nothing: only the comparison of all pairs is left.
     def nothing(self, queries, *_):

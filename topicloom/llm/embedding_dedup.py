@@ -6,12 +6,13 @@ medoid give the candidates of a vector, robust pruning keeps the edges, reverse
 and pruned again.  The adjacency lists of a vector from all its shards are united.  Then every
 vector is searched in the blocks of the shards that can be the nearest one of a vector in range:
 greedily from the medoid with a beam, and where the beam ends inside the radius the search goes
-on through all neighbours in range.  What is found is verified in double precision.  A link
-counts in the nearest shard of the vector that is found.
+on through all neighbours in range.  What is found is verified in double precision.
 
 Where vectors have no structure, nearly every shard can be that one.  The shards are therefore
 visited from the nearest on: the audit tells how far down the list true links go, twice as many
 shards are visited, and a vector with a link in the farther half visits all the others as well.
+A vector lies in several shards, so a link is met in the first of them on the list: it counts
+there, and in the nearest shard of the vector that is found where none of them comes so early.
 
 Equal vectors of a label are one vertex with a count, so copies never form pairs.
 """
@@ -40,6 +41,7 @@ BEAM = 40
 ALPHA = 1.2
 AUDIT = 200
 EXPAND = 4
+PREFIX = 32  # most shards named in a query's row; where more are visited first, links count at home only
 BATCH = 256
 _SLACK = 1e-5  # float32 search error; what is found is verified
 _ROUTE_SLACK = 1e-4  # float32 routing error
@@ -290,6 +292,12 @@ def _lists(table: pa.Table) -> pa.Table:
     return pa.table({"_v": ids, "_near": pa.array([ids[row[row >= 0]].tolist() for row in lists], pa.list_(pa.int64()))})
 
 
+def _padded(lists, fill: int) -> np.ndarray:
+    lists = lists.to_pylist()
+    width = max(1, max(map(len, lists), default=1))
+    return np.array([x + [fill] * (width - len(x)) for x in lists], dtype=np.int32).reshape(-1, width)
+
+
 def _searcher(cosine: float, beam: int | None):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         cell = key[1].as_py()
@@ -302,6 +310,11 @@ def _searcher(cosine: float, beam: int | None):
         if not len(nodes) or not len(queries):
             return _none()
         nodes, queries = nodes[np.argsort(ids[nodes])], queries[np.argsort(ids[queries])]
+        # The shards a node lies in and those whose links a query counts elsewhere, by row.
+        row = np.zeros(len(ids), dtype=np.int64)
+        row[nodes], row[queries] = np.arange(len(nodes)), np.arange(len(queries))
+        lies, before = (_padded(table["_in"].take(pa.array(some)), fill) for some, fill in ((nodes, -2), (queries, -3)))
+        home_only = np.asarray(table["_home_only"])
         if beam is not None:
             known = {int(v): i for i, v in enumerate(ids[nodes])}
             lists = [[known[x] for x in table["_near"][int(i)].as_py() if x in known] for i in nodes]
@@ -325,20 +338,21 @@ def _searcher(cosine: float, beam: int | None):
             q, x = q[ids[q] != ids[x]], x[ids[q] != ids[x]]
             for part in range(0, len(q), 100_000):
                 a, b = q[part : part + 100_000], x[part : part + 100_000]
-                # Verified in double precision; every pair joins, a link counts where the node is at home.
+                # Verified in double precision; every pair joins, a link counts in one shard.
                 ok = np.einsum("ij,ij->i", raw[a], raw[b]) >= cosine * (norms[a] * norms[b])
                 a, b = a[ok], b[ok]
-                at_home = home[b] == cell
-                np.add.at(links, a[at_home], weight[b[at_home]])
-                far[place[a[at_home & late[a]]]] = True
+                met = (lies[row[b]][:, :, None] == before[row[a]][:, None, :]).any(axis=(1, 2))
+                counts = ~met & (~home_only[a] | (home[b] == cell))
+                np.add.at(links, a[counts], weight[b[counts]])
+                far[place[a[counts & late[a]]]] = True
                 left.append(place[a])
                 right.append(place[b])
         a, b = np.concatenate(left or [[]]).astype(int), np.concatenate(right or [[]]).astype(int)
         while len(a):
-            before = least.copy()
+            earlier = least.copy()
             np.minimum.at(least, a, least[b])
             np.minimum.at(least, b, least[a])
-            if (before == least).all():
+            if (earlier == least).all():
                 break
         hit[a] = hit[b] = True
         total = np.zeros(len(values), dtype=np.int64)
@@ -358,9 +372,12 @@ def search_all(routed: DataFrame, cosine: float = COSINE, beam: int | None = BEA
     id they lead to there.  Without a beam all pairs of a query block and a node block are compared.
 
     With ``nearest`` a vector visits that many shards of its list, and the others when one of the
-    farther half of them gave it a link.
+    farther half of them gave it a link.  Up to ``PREFIX`` shards, a link counts in the first of
+    them that holds the vector found.
     """
-    nodes = keep(placed(routed), "graph-placed")
+    nodes = keep(placed(routed.withColumn("_in", F.col("_cells"))), "graph-placed")
+    early = nearest is not None and nearest <= PREFIX
+    routed = routed.withColumn("_in", F.slice("_visits", 1, nearest) if early else F.array().cast("array<int>"))
     if beam is None:
         full = nodes.where("_home = _cell").withColumn("_near", F.lit(None).cast("array<long>"))
     else:
@@ -372,25 +389,33 @@ def search_all(routed: DataFrame, cosine: float = COSINE, beam: int | None = BEA
         return _search(routed, nodes, full, cosine, beam).drop("_far")
     full = keep(full, "graph-full")
     first = routed.withColumn("_visits", F.slice("_visits", 1, nearest))
-    found = keep(_search(first, nodes, full, cosine, beam, nearest // 2), "graph-first")
+    found = keep(_search(first, nodes, full, cosine, beam, nearest // 2, early), "graph-first")
     far = keep(found.where("_far").select("_v").distinct(), "graph-far")
     rest = routed.withColumn("_visits", F.slice("_visits", nearest + 1, CENTRES)).where(F.size("_visits") > 0)
     rest = rest.join(far, "_v", "left_semi")
     return found.unionByName(_search(rest, nodes, full, cosine, beam)).drop("_far")
 
 
-def _search(routed: DataFrame, nodes: DataFrame, full: DataFrame, cosine: float, beam: int | None, late: int = CENTRES) -> DataFrame:
-    """The links of all vectors of ``routed`` in the shards they visit; ``_far``: one was found at place ``late`` or later."""
+def _search(routed: DataFrame, nodes: DataFrame, full: DataFrame, cosine: float, beam: int | None, late: int = CENTRES,
+            early: bool = False) -> DataFrame:
+    """The links of all vectors of ``routed`` in the shards they visit; ``_far``: one was found at place ``late`` or later.
+
+    Links count where the vector found is at home, unless it lies in one of the query's shards
+    ``_in`` that counted them before; with ``early``, in the first of the shards ``_in`` it lies in.
+    """
     asked = keep(placed(routed, "_visits"), "graph-asked")
+    if early:
+        asked = asked.withColumn("_in", F.slice("_in", F.lit(1), F.col("_place")))
     # Every block of a shard is searched for every block of the queries that visit it.
     sizes = [rows.select("_label", "_cell", F.col("_blocks").alias("_others")).distinct() for rows in (nodes, asked)]
     every = F.explode(F.sequence(F.lit(0), F.col("_others") - 1))
     as_query = asked.join(sizes[0], ["_label", "_cell"]).select(
-        "_label", "_cell", F.col("_block").alias("_i"), every.alias("_j"), "_v", "_n", "_vec", "_home",
-        F.lit(None).cast("array<long>").alias("_near"), F.lit(True).alias("_query"), (F.col("_place") >= late).alias("_late"))
+        "_label", "_cell", F.col("_block").alias("_i"), every.alias("_j"), "_v", "_n", "_vec", "_home", "_in",
+        F.lit(None).cast("array<long>").alias("_near"), F.lit(True).alias("_query"), (F.col("_place") >= late).alias("_late"),
+        F.lit(not early).alias("_home_only"))
     as_node = full.join(sizes[1], ["_label", "_cell"]).select(
-        "_label", "_cell", every.alias("_i"), F.col("_block").alias("_j"), "_v", "_n", "_vec", "_home", "_near",
-        F.lit(False).alias("_query"), F.lit(False).alias("_late"))
+        "_label", "_cell", every.alias("_i"), F.col("_block").alias("_j"), "_v", "_n", "_vec", "_home", "_in", "_near",
+        F.lit(False).alias("_query"), F.lit(False).alias("_late"), F.lit(not early).alias("_home_only"))
     tasks = as_query.unionByName(as_node)
     return tasks.groupBy("_label", "_cell", "_i", "_j").applyInArrow(
         _searcher(cosine, beam), "_v long, _links long, _least long, _far boolean"
@@ -399,7 +424,8 @@ def _search(routed: DataFrame, nodes: DataFrame, full: DataFrame, cosine: float,
 
 def true_links(routed: DataFrame, dim: int, cosine: float = COSINE, queries: int = AUDIT) -> DataFrame:
     """Exact link counts of at most ``queries`` vectors against all rows, in blocks: ``_v``, ``_true``,
-    and ``_last``: the farthest place in its ``_visits`` at which a linked vector is at home (-1: none)."""
+    ``_last``: the farthest place in its ``_visits`` at which a linked vector is at home (-1: none), and
+    ``_first``: the farthest of the first places at which the linked vectors lie."""
     wanted = routed.select("_v", "_label", "_vec", "_visits").orderBy(F.xxhash64("_v", F.lit("audit")), "_v").limit(queries)
     drawn = wanted.collect()
     shared = routed.sparkSession.sparkContext.broadcast([tuple(r) for r in drawn])
@@ -407,11 +433,11 @@ def true_links(routed: DataFrame, dim: int, cosine: float = COSINE, queries: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, labels, raw, visits = zip(*shared.value)
         ids, raw = np.array(ids), _unit(np.array(raw, dtype=np.float64))
-        # Place of each cell in each list; cell -1 takes the last column.
-        places = np.full((len(ids), max(map(max, visits)) + 2), -1, dtype=np.int32)
+        # Place of each cell in each list; cell -1 takes the last column, the one before it stays empty.
+        places = np.full((len(ids), max(map(max, visits)) + 3), -1, dtype=np.int32)
         for row, cells in zip(places, visits):
             row[cells] = np.arange(len(cells))
-        found, last = np.zeros(len(ids), dtype=np.int64), np.full(len(ids), -1, dtype=np.int64)
+        found, last, first = np.zeros(len(ids), dtype=np.int64), *np.full((2, len(ids)), -1, dtype=np.int64)
         for batch in batches:
             rows = _unit(_matrix(batch.column(1), dim))
             mine = batch.column(0).to_pylist()
@@ -420,14 +446,20 @@ def true_links(routed: DataFrame, dim: int, cosine: float = COSINE, queries: int
             found += linked @ np.asarray(batch.column(3))
             q, x = np.nonzero(linked)
             home = np.asarray(batch.column(4))[x]
-            known = home < places.shape[1] - 1
+            known = home < places.shape[1] - 2
             np.maximum.at(last, q[known], places[q[known], home[known]])
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(found), pa.array(last)], names=["_v", "_true", "_last"])
+            lies = _padded(batch.column(5), -2)[x]
+            lies[lies >= places.shape[1] - 2] = -2
+            at = places[q[:, None], lies]
+            least = np.where(at < 0, CENTRES, at).min(axis=1, initial=CENTRES)
+            np.maximum.at(first, q[least < CENTRES], least[least < CENTRES])
+        columns = {"_v": ids, "_true": found, "_last": last, "_first": first}
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
 
     if not drawn:
-        return routed.select("_v", F.lit(0).cast("long").alias("_true"), F.lit(-1).cast("long").alias("_last"))
-    counts = routed.select("_label", "_vec", "_v", "_n", "_home").mapInArrow(run, "_v long, _true long, _last long")
-    return counts.groupBy("_v").agg(F.sum("_true").alias("_true"), F.max("_last").alias("_last"))
+        return routed.select("_v", F.lit(0).cast("long").alias("_true"), *[F.lit(-1).cast("long").alias(c) for c in ("_last", "_first")])
+    counts = routed.select("_label", "_vec", "_v", "_n", "_home", "_cells").mapInArrow(run, "_v long, _true long, _last long, _first long")
+    return counts.groupBy("_v").agg(F.sum("_true").alias("_true"), F.max("_last").alias("_last"), F.max("_first").alias("_first"))
 
 
 def recall(links: DataFrame, truth: DataFrame) -> float:
@@ -458,7 +490,10 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         routed = keep(route(same, dim, cosine=cosine), "graph-routed")
         truth = keep(true_links(routed, dim, cosine), "graph-truth")
         # Twice as far as the audited links go.
-        nearest = max(OVERLAP, 2 * (truth.agg(F.max("_last")).first()[0] + 1))
+        last, first = truth.agg(F.max("_last"), F.max("_first")).first()
+        nearest = max(OVERLAP, 2 * (first + 1))
+        if nearest > PREFIX:
+            nearest = max(nearest, 2 * (last + 1))
         for width, limit in ((beam, nearest), (beam, None), (2 * beam, None), (4 * beam, None), (None, None)):
             found = keep(search_all(routed, cosine, width, limit), "graph-found")
             links = found.groupBy("_v").agg(F.sum("_links").alias("_links"))
