@@ -124,7 +124,7 @@ def test_components_of_stars_take_few_stages(spark):
         context.setLocalProperty("spark.jobGroup.id", None)
     tracker = context.statusTracker()
     jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
-    # The driver holds every task of every stage: one round of two shuffles, and its answer.
+    # The driver holds every task of every stage: one round of three shuffles, and its answer.
     assert jobs and sum(len(j.stageIds) for j in jobs) <= 12
     rows = [tuple(r) for r in found.collect()]
     assert len(rows) == len(set(rows)) and dict(rows) == {x: x % 7 for u, v in edges[:300] for x in (u, v)}

@@ -8,24 +8,19 @@ from pyspark.sql import functions as F
 from topicloom.workspace import drop_kept, keep
 
 
-def _gathered(edges: DataFrame) -> DataFrame:
-    """The different edges (``u``, ``v``), those of a ``u`` in one task, by a single shuffle; ``_new`` if one of them is."""
-    return edges.repartition("u").groupBy("u", "v").agg(F.max("_new").alias("_new"))
-
-
 def _round(edges: DataFrame) -> DataFrame:
     """A large star, then a small star: edges that point down (u > v), ``_new`` where one was moved.
 
-    Every edge gives one edge, so the table never grows.
+    Every edge gives one edge, so the table never grows.  Only a join, which may split a key,
+    brings together the many edges that point at one vertex.
     """
-    ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
-    both = edges.where("u != v").select(F.explode(ways).alias("w")).select("w.*", F.lit(False).alias("_new"))
-    lowest = F.min("v").over(Window.partitionBy("u"))
+    down = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     # The larger neighbours of each vertex are linked to its least one or to itself.
-    large = _gathered(both).withColumn("m", F.least(lowest, "u")).where("v > u")
-    large = large.select(F.col("v").alias("u"), F.col("m").alias("v"), (F.col("m") != F.col("u")).alias("_new"))
-    # Its smaller neighbours and the vertex itself are linked to the least of them.
-    small = _gathered(large).withColumn("m", lowest)
+    low = down.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m"))
+    large = down.join(low, "v", "left").select("u", F.coalesce("m", "v").alias("v"), F.col("m").isNotNull().alias("_new"))
+    # Its smaller neighbours and the vertex itself are linked to the least of them; equal edges become one.
+    small = large.repartition("u").groupBy("u", "v").agg(F.max("_new").alias("_new"))
+    small = small.withColumn("m", F.min("v").over(Window.partitionBy("u")))
     moved = F.col("v") != F.col("m")
     return small.select(F.when(moved, F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"), (F.col("_new") | moved).alias("_new"))
 
@@ -33,7 +28,7 @@ def _round(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(u, v) pairs -> (vertex, component): the least vertex reachable, for vertices with an edge.
 
-    Every round is two shuffles, written to the shared folder, so no lineage grows; the rounds
+    Every round is three shuffles, written to the shared folder, so no lineage grows; the rounds
     end with the first that moves no edge.  Only that answer reaches the driver.
     """
     current, moved = None, True
